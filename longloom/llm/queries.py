@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import rules
 from ._shared import table
 
 
@@ -16,6 +17,16 @@ def _vocabulary(name: str) -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.measures(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe
 
@@ -34,8 +45,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json")[0])
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_byte_bpe, op8_token_counts, op9_packing)
+    f.__name__: f for f in (op1_quality, op2_quality_rules, op6_byte_bpe, op8_token_counts, op9_packing, op10_toxicity)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": rules.ORACLE}
