@@ -33,6 +33,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *_vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import embeddings
+
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_counts
 
@@ -52,7 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_quality_rules, op6_byte_bpe, op8_token_counts, op9_packing, op10_toxicity)
+    f.__name__: f for f in (op1_quality, op2_quality_rules, op6_byte_bpe, op7_embedding_dedup, op8_token_counts, op9_packing, op10_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": rules.ORACLE}
