@@ -100,6 +100,15 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(roots)
 
 
+def row_keys(docs: DataFrame) -> Column:
+    """A long that tells the rows of (doc_id, text) apart: doc_id, where it is unique and never null.
+
+    Otherwise a hash of both columns; rows equal in both then share a key.
+    """
+    odd = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count()
+    return F.xxhash64("doc_id", "text") if odd else F.col("doc_id").cast("long")
+
+
 def crc_bucket(doc_id: Column | str) -> Column:
     """crc32 of the id as text, mod 5: 0 marks the held-out rows."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5

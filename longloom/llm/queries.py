@@ -33,6 +33,12 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import substring
+
+    return substring.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe
 
@@ -64,7 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_quality_rules, op4_html_text, op6_byte_bpe, op7_embedding_dedup, op8_token_counts, op9_packing, op10_toxicity)
+    f.__name__: f for f in (op1_quality, op2_quality_rules, op4_html_text, op5_substring_dedup, op6_byte_bpe, op7_embedding_dedup, op8_token_counts, op9_packing, op10_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": rules.ORACLE}
