@@ -27,6 +27,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.measures(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import minhash
+
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import html
 
@@ -70,7 +76,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_quality_rules, op4_html_text, op5_substring_dedup, op6_byte_bpe, op7_embedding_dedup, op8_token_counts, op9_packing, op10_toxicity)
+    f.__name__: f for f in (op1_quality, op2_quality_rules, op3_minhash_dedup, op4_html_text, op5_substring_dedup, op6_byte_bpe, op7_embedding_dedup, op8_token_counts, op9_packing, op10_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": rules.ORACLE}
