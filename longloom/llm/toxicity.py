@@ -68,32 +68,32 @@ def dictionaries(toxic: list[str], ordinary: list[str], toxic_bytes: int, ordina
     the toxic part; the ordinary part has the words of ordinary texts by the
     bytes they cover.
     """
-    known: dict[bytes, set[bytes]] = {}
-
-    def grams(word: bytes) -> set[bytes]:
-        found = known.get(word)
-        if found is None:
-            found = known[word] = _grams(word)
-        return found
-
-    with_t, with_o = [set(spaced_words(t)) for t in toxic], [set(spaced_words(t)) for t in ordinary]
-    seen_t, seen_o, word_t, word_o = Counter(), Counter(), Counter(), Counter()
-    for words in with_t:
-        word_t.update(words)
-        seen_t.update(set().union(*map(grams, words)))
-    seen_t = Counter({g: n for g, n in seen_t.items() if n >= 4})
-    for words in with_o:
-        word_o.update(words)
-        seen_o.update(set().union(*map(grams, words)) & seen_t.keys())
+    word_t, word_o = Counter(), Counter()
+    for text in toxic:
+        word_t.update(set(spaced_words(text)))
+    for text in ordinary:
+        word_o.update(set(spaced_words(text)))
+    # a piece counts once for each document and word that hold it
+    seen_t, seen_o = Counter(), Counter()
+    for word, n in word_t.items():
+        if n > 1:
+            for gram in _grams(word):
+                seen_t[gram] += n
+    seen_t = {g: n for g, n in seen_t.items() if n >= 4}
+    for word, n in word_o.items():
+        for gram in _grams(word):
+            if gram in seen_t:
+                seen_o[gram] += n
     n_t, n_o = len(toxic), len(ordinary)
 
     def ratio(gram: bytes) -> float:
+        """Twice the log likelihood ratio of two Poisson rates against one."""
         x, y = seen_t[gram], seen_o[gram]
-        p = (x + y) / (n_t + n_o)
-        return 2 * (x * math.log(x / (p * n_t)) + (y * math.log(y / (p * n_o)) if y else 0))
+        expected = (x + y) / (n_t + n_o)
+        return 2 * (x * math.log(x / (expected * n_t)) + (y * math.log(y / (expected * n_o)) if y else 0))
 
     marks = {g for g, x in seen_t.items() if x * n_o > 10 * (seen_o[g] + 1) * n_t and ratio(g) >= evidence}
-    marked = {w for w in word_t if word_o[w] * n_t * 5 < word_t[w] * n_o and not marks.isdisjoint(grams(w))}
+    marked = {w for w in word_t if word_o[w] * n_t * 5 < word_t[w] * n_o and not marks.isdisjoint(_grams(w))}
     plain = sorted((w for w in word_o if w not in marked), key=lambda w: (-word_o[w] * len(w), w))
     return _filled(plain, ordinary_bytes), _filled(sorted(marked, key=lambda w: (-word_t[w], w)), toxic_bytes)
 
@@ -192,7 +192,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, rows: dict[i
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, threshold: float = 0.5, toxic_rows: int = 1500, ordinary_rows: int = 6000, max_chars: int = 20_000
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.5, toxic_rows: int = 1200, ordinary_rows: int = 4000, max_chars: int = 20_000
 ) -> DataFrame:
     """Score every whole text of ``docs``; learn from labelled rows outside the held-out fold.
 
