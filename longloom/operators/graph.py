@@ -23,7 +23,7 @@ def reversed_edges(edges: DataFrame) -> DataFrame:
 
 
 def undirected(edges: DataFrame) -> DataFrame:
-    return edges.unionByName(reversed_edges(edges)).distinct()
+    return edges.select("u", "v").unionByName(reversed_edges(edges)).distinct()
 
 
 def bfs(edges: DataFrame, starts: DataFrame, max_depth: int | None = None) -> DataFrame:
