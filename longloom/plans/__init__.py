@@ -1,6 +1,6 @@
 """Whole queries over the driver's tables."""
 
-from . import relational
+from . import generated, relational
 from .registry import ORACLE_SQL, QUERIES, get, query
 
-__all__ = ["ORACLE_SQL", "QUERIES", "get", "query", "relational"]
+__all__ = ["ORACLE_SQL", "QUERIES", "generated", "get", "query", "relational"]

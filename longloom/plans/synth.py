@@ -26,6 +26,15 @@ from .shape import prompt_input
 # Labels and sentences of the tasks.
 CATEGORIES = ("fruit", "metal", "animal", "color", "country", "planet", "tool", "gem", "flower", "fish", "bird", "vehicle")
 NOISE = "The grass is green. The sky is blue. The sun is yellow. Here we go. There and back again."
+GRAPH_PREAMBLE = (
+    'You are given a directed graph as a list of edges, one per line in the form "A -> B", meaning there is a directed edge '
+    "from node A to node B. Node names are random hexadecimal strings, the edges are listed in arbitrary order, and every node "
+    "has degree at least 1.\n\nDefinitions: the children (direct successors) of a node X are the nodes Y with an edge X -> Y; "
+    "the parents (direct predecessors) of X are the nodes Y with an edge Y -> X; a BFS from X reaches a node at depth d when its "
+    "shortest directed path from X uses exactly d edges.\n\nPerform the requested operation and respond with only the answer:\n"
+    '  ["node1", "node2", ...]   for a set of nodes (use [] if empty)\n  <integer>                 for a numeric answer\n'
+    "  Yes   (or No)             for a yes/no answer"
+)
 EDGE_HEADING = "The graph has the following edges:"
 
 COLUMNS = ("sample_id", "task", "instruction", "context", "question", "answer_prefix", "answers", "gold", "answer_type", "meta")
@@ -398,7 +407,7 @@ def _graph_sample(graphs: DataFrame, name: str, question: Column, gold: Column,
     answers = F.array(json_list(F.col("nodes_found"))) if kind == "list" else F.array(gold)
     gold = _json(F.col("nodes_found")) if kind == "list" else _json(F.struct(gold.alias("x"))).substr(F.lit(6), F.length(_json(F.struct(gold.alias("x")))) - 6) if kind == "string" else gold
     return _sample(
-        graphs, name, "You are given a directed graph as a list of edges. Each line \"u -> v\" is an edge from node u to node v.", edge_lines(F.col("edges")),
+        graphs, name, GRAPH_PREAMBLE, edge_lines(F.col("edges")),
         F.concat(F.lit("Operation:\n"), question), "", answers, gold, kind, **meta,
     )
 

@@ -254,7 +254,7 @@ def check_abstention(samples: DataFrame, idk: str = "I don't know") -> DataFrame
 
 def check_reorder(samples: DataFrame) -> DataFrame:
     """Reading the labelled chunks in the gold's order gives the original units back."""
-    chunks = _all(F.col("context"), r"(?s)(?:\A|\n\n)\[\d+\] (.*?)(?=\n\n\[\d+\] |\z)")
+    chunks = _all(F.col("context"), r"(?s)\n\n\[\d+\] (.*?)(?=\n\n\[\d+\] |\z)")
     order = F.from_json("gold", "array<int>")
     again = F.transform(order, lambda k: F.element_at(chunks, k))
     return samples.select("task", "sample_id", (again == F.col("units")).alias("ok"))
