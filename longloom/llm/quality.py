@@ -149,7 +149,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, negative: np.ndarray, bins
     first model fitted on the other half. Labelled bad texts only set where
     the scores lie between 0 and 1, by a logistic curve in the prior's mixture.
     """
-    edges = _edges(unlabelled if len(unlabelled) else positive, bins)
+    base = unlabelled if len(unlabelled) else positive
+    edges = _edges(base, bins) if len(base) else [np.zeros(0)] * base.shape[1]
     if not len(positive) or not len(unlabelled):
         return Model(edges, np.zeros(sum(len(e) + 1 for e in edges) + 1), 0.5)
     first = minimise(positive[::2], unlabelled[::2], edges, 0.5, steps=200)
