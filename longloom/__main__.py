@@ -51,7 +51,7 @@ def cluster(spark, a):
     write_summary(bundle_summary(spark.read.parquet(f"{a.output_dir}/clusters.parquet")), f"{a.output_dir}/summary.json")
 
 
-def untie(spark, a):
+def reorder_command(spark, a):
     from .plans.corpus_tasks import reorder
 
     docs = _corpus(spark, a).select(F.col("doc_id").alias("src"), "text")
@@ -107,7 +107,7 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(required=True)
 
     def command(f, **flags):
-        c = sub.add_parser(f.__name__)
+        c = sub.add_parser(f.__name__.removesuffix("_command"))
         c.set_defaults(run=f)
         common = {"output_dir": "out", "seed": 42, "format": "sft", "max_seq_length": 4096}
         for name, value in (common | flags).items():
@@ -121,7 +121,7 @@ def parser() -> argparse.ArgumentParser:
     paragraph = reading | {"num_samples": 20, "min_size": 6, "pool_size": 20000, "max_seq_length": 8192}
     command(synth, task="all", num_samples=10, words="words.txt", list=False, format="pt")
     command(cluster, vectors="vectors.parquet", id_col="doc_id", topk=64, budget=131072, floor=0.35, blocks=16)
-    command(untie, **reading | {"min_doc_tokens": 8000, "context_len": 131072, "flows": "reconstruct,permutation", "target_para_tokens": 10000, "target_jitter": 0.25, "max_para_tokens": None, "min_units": 2, "max_reuse": 5, "num_samples": None, "seed": 0})
+    command(reorder_command, **reading | {"min_doc_tokens": 8000, "context_len": 131072, "flows": "reconstruct,permutation", "target_para_tokens": 10000, "target_jitter": 0.25, "max_para_tokens": None, "min_units": 2, "max_reuse": 5, "num_samples": None, "seed": 0})
     command(mrcr, **paragraph)
     command(idk, **paragraph | {"min_size": 8})
     for f, more in ((prepare, reading | {"kind": "multihop", "reserve_tokens": 2048, "summary_words": None, "max_seq_length": 131072}), (assemble, {"input_dir": "out", "responses": "responses", "kind": "multihop", "id_field": "id"})):

@@ -98,7 +98,7 @@ def reorder(
     rows = docs.withColumn("labels", labels).withColumn("sample_id", nth.cast("long"))
     answers = F.array(F.array_join("units", "\n\n")) if flow == "reconstruct" else F.transform("labels", lambda x: x.cast("string"))
     return rows.select(
-        "sample_id", F.lit(f"untie_knots-{flow}").alias("task"), F.lit(flow).alias("flow"), "source", F.lit(REORDER_INSTRUCTION[flow]).alias("instruction"),
+        "sample_id", F.lit(f"reorder-{flow}").alias("task"), F.lit(flow).alias("flow"), "source", F.lit(REORDER_INSTRUCTION[flow]).alias("instruction"),
         F.concat(F.lit(REORDER_HEADING), listing).alias("context"), F.lit(REORDER_QUESTION[flow]).alias("question"), F.lit("").alias("answer_prefix"), answers.alias("answers"),
         F.to_json("labels").alias("gold"), F.lit("string" if flow == "reconstruct" else "list").alias("answer_type"),
         F.to_json(F.struct(F.lit(flow).alias("flow"), F.size("units").alias("n_units"))).alias("meta"), "units",
