@@ -12,9 +12,11 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,40 +128,81 @@ class WordIds:
     carries a special token's string goes to the tokenizer whole.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 900_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        # for words that are normal, lower-case and one pre-token as they stand: the same model, without the steps before it
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.most = most
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+    def _ids(self, texts: list[str], bare: bool = False) -> list[bytes]:
+        tokenizer = self.bare if bare else self.tokenizer
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def _parts(chunk: str) -> tuple[str, str]:
-        head = chunk.rstrip(_PUNCTUATION)
-        if head.isalpha() and "\u03a3" not in head and "\u0130" not in head:
-            return head.lower(), chunk[len(head) :]
-        return chunk, ""
+    def _learn(self, unknown: set[str]) -> None:
+        """Put the ids of chunks not met before into ``chunks``."""
+        chunks, words = self.chunks, self.words
+        waiting: list[tuple[str, str, str]] = []
+        lacking, plain = set(), set()
+        for chunk in unknown:
+            head = chunk.rstrip(_PUNCTUATION)
+            tail = chunk[len(head) :]
+            letters = plain
+            if head.isalpha() and (head.isascii() or "\u03a3" not in head and "\u0130" not in head):
+                head = head.lower()
+            else:
+                head, tail, letters = chunk, "", lacking
+            ids, more = words.get(head), words.get(tail)
+            if ids is None or more is None:
+                waiting.append((chunk, head, tail))
+                letters.add(head)
+                lacking.add(tail)
+            else:
+                chunks[chunk] = ids + more
+        lacking.update([w for w in plain if not (w.isascii() or is_normalized("NFC", w))])
+        for bare, new in ((False, [w for w in lacking if w not in words]), (True, [w for w in plain if w not in words and w not in lacking])):
+            for i in range(0, len(new), 50_000):
+                words.update(zip(new[i : i + 50_000], self._ids(new[i : i + 50_000], bare), strict=True))
+        for chunk, head, tail in waiting:
+            chunks[chunk] = words[head] + words[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        parts = [None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ") for t in texts]
+        """Little-endian unsigned 32-bit ids of each text.
+
+        Only blanks and line ends part chunks; any other character stays with
+        its chunk for the tokenizer to judge.
+        """
         if len(self.chunks) > self.most:
             self.chunks.clear()
         if len(self.words) > self.most:
             self.words.clear()
-        chunks, words = self.chunks, self.words
-        new = {w: self._parts(w) for w in set().union(*(p for p in parts if p)) if w not in chunks}
-        lacking = list({x for pair in new.values() for x in pair if x not in words})
-        for i in range(0, len(lacking), 50_000):
-            words.update(zip(lacking[i : i + 50_000], self._ids(lacking[i : i + 50_000]), strict=True))
-        chunks.update((w, words[a] + words[b]) for w, (a, b) in new.items())
-        return [self._ids([t])[0] if p is None else b"".join(map(chunks.__getitem__, p)) for p, t in zip(parts, texts, strict=True)]
+        known = self.chunks.get
+        found: list = []
+        unknown: set[str] = set()
+        for text in texts:
+            if any(s in text for s in self.special):
+                found.append(self._ids([text])[0])
+                continue
+            parts = text.replace("\n", " ").split(" ")
+            ids = list(map(known, parts))
+            if None in ids:
+                unknown.update([w for w, v in zip(parts, ids, strict=True) if v is None])
+                found.append((parts, ids))
+            else:
+                found.append(b"".join(ids))
+        if unknown:
+            self._learn(unknown)
+        of = self.chunks
+        return [
+            f if type(f) is bytes else b"".join([of[w] if v is None else v for w, v in zip(*f, strict=True)]) for f in found
+        ]
 
 
 def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, text_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -175,12 +218,11 @@ def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, tex
         key = 0
         for batch in batches:
             doc_ids, text = batch.column(0).to_pylist(), batch.column(1)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             start = 0
             while start < len(text):
-                stop, size = start, 0
-                while stop < len(text) and (stop == start or size < text_bytes):
-                    size += len(text[stop].as_py() or "")
-                    stop += 1
+                past = sizes[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(sizes, past + text_bytes)))
                 part = [t or "" for t in text.slice(start, stop - start).to_pylist()]
                 for doc_id, ids in zip(doc_ids[start:stop], words.encode(part), strict=True):
                     ids += END_ID.to_bytes(4, "little")
