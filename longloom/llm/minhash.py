@@ -9,8 +9,9 @@ shingle costs one read of a row of neighbours.
 Documents with equal shingle sets are folded into one class, then:
 
 1. signatures are cut into bands; classes that agree in a band share a bucket;
-2. each class of a bucket is checked against the bucket's smallest, on the
-   full shingle sets, and confirmed links are joined to components;
+2. each class is checked on the full shingle sets against the smallest of all
+   classes that lead its buckets, then against the leaders of those buckets
+   that it has no link into yet, and confirmed links are joined to components;
 3. where a bucket still holds more than one component, signatures of its
    classes are compared block against block and pairs across components that
    look similar are checked on the full sets too.
@@ -159,8 +160,14 @@ def near_duplicates(
     first = banded.groupBy("bucket").agg(F.count("*").alias("members"), F.min(F.struct("id", "n")).alias("hub")).where("members > 1")
     met = stored(banded.join(first.drop("members"), "bucket").select("bucket", "id", "n", "hub"), "buckets")
     near_size = F.least(F.col("n"), F.col("hub.n")) * 100 >= F.greatest(F.col("n"), F.col("hub.n")) * percent
-    pairs = met.where(near_size & (F.col("id") != F.col("hub.id"))).select(F.col("hub.id").alias("u"), F.col("id").alias("v")).distinct()
-    links = stored(_confirmed(pairs, plain, size, percent), "confirmed")
+    stars = met.where(near_size & (F.col("id") != F.col("hub.id"))).select(F.col("hub.id").alias("u"), F.col("id").alias("v")).distinct()
+
+    # one pair for each class first, and only then what still lies in different components
+    nearest = stars.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+    links = stored(_confirmed(nearest, plain, size, percent), "confirmed")
+    label = components(links)
+    others = _across(stars.join(nearest, ["u", "v"], "left_anti"), label)
+    links = links.unionByName(stored(_confirmed(others, plain, size, percent), "confirmed"))
     joined = components(links)
 
     labelled = met.select("bucket", "id").join(joined, "id", "left").select("bucket", "id", F.coalesce("component_id", "id").alias("component_id"))
@@ -180,7 +187,7 @@ def near_duplicates(
     share = percent / 100
     least = share - 5 * (share * (1 - share) / (bands * rows)) ** 0.5
     likely = dealt.mapInArrow(lambda b: _likely(b, least), "u long, v long").distinct()
-    more = stored(_confirmed(likely.join(pairs, ["u", "v"], "left_anti"), plain, size, percent), "confirmed")
+    more = stored(_confirmed(likely.join(stars, ["u", "v"], "left_anti"), plain, size, percent), "confirmed")
 
     final = components(links.unionByName(more))
     of_class = classes.join(final, "id", "left").select("a", "b", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
@@ -189,6 +196,13 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (u, v) that ``label`` (id, component_id) has not joined."""
+    for end in ("u", "v"):
+        pairs = pairs.join(label.select(F.col("id").alias(end), F.col("component_id").alias(f"of_{end}")), end, "left")
+    return pairs.where(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (u, v) whose documents' shingle sets pass ``percent``.
 
