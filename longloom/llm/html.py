@@ -5,10 +5,10 @@ Containers that HTML or their own names mark as navigation, adverts, notices,
 forms or comments are left out. What templates put on many pages of a site is
 found by differencing: pages are paired with their neighbours by URL path
 within their host, their lines are aligned by longest common subsequence, and
-shared lines are deleted. Lines inside an ``article`` or ``main`` element stay
-even when shared, as copies of one article on two pages would otherwise delete
-each other; for the same reason a neighbour with the same lines throughout is
-no evidence and the next one is taken.
+shared lines are deleted. Lines inside an ``article`` or ``main`` element go
+only when two neighbours with different articles share them, as copies of one
+article on two pages would otherwise delete each other; for the same reason a
+neighbour that is a copy or near copy of the page is no evidence.
 """
 
 from __future__ import annotations
@@ -132,8 +132,6 @@ def blocks(page: str) -> list[tuple[str, bool]]:
         cut = tail.find("<")  # a tag that the page's end cuts off
         piece.append(tail if cut < 0 or not re.match(r"<[/!a-zA-Z]", tail[cut:]) else tail[:cut])
     flush()
-    if any(inside for _, inside in out):
-        return [b for b in out if b[1]]
     return out
 
 
@@ -166,18 +164,38 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
+def evidence(own: list[tuple[str, bool]], other: list[tuple[str, bool]]) -> set[int] | None:
+    """Positions of the lines of ``own`` that ``other`` shares, or None if ``other`` is a copy or near copy of it.
+
+    A near copy holds four fifths of the page's characters, or holds half of
+    them and little else, as a print version does.
+    """
+    shared = common_lines([text for text, _ in own], [text for text, _ in other])
+    both = sum(len(own[i][0]) for i in shared)
+    mine, theirs = (sum(len(text) for text, _ in x) for x in (own, other))
+    if len(shared) == len(own) or 5 * both >= 4 * mine or 5 * both >= 4 * theirs and 2 * both >= mine:
+        return None
+    return shared
+
+
 def main_text(own: list[tuple[str, bool]], neighbours: list[list[tuple[str, bool]]]) -> str:
-    """Blocks of a page less the lines outside its main part that neighbours share."""
-    loose = [i for i, (_, inside) in enumerate(own) if not inside]
+    """Blocks of a page less the lines that differencing finds to be the site's.
+
+    Outside ``article`` and ``main`` one neighbour that shares the line is
+    enough. Inside, two are needed that are no near copies of each other.
+    Near copies of the page itself are no evidence.
+    """
     gone: set[int] = set()
-    if loose:
-        lines = [own[i][0] for i in loose]
-        for other in neighbours:
-            shared = common_lines(lines, [text for text, inside in other if not inside])
-            if len(shared) < len(lines):
-                gone |= {loose[k] for k in shared}
-        if len(gone) == len(own):
-            gone = set()
+    differing = [(other, shared) for other in neighbours if (shared := evidence(own, other)) is not None]
+    for _, shared in differing:
+        gone |= {i for i in shared if not own[i][1]}
+    for k, (other, shared) in enumerate(differing):
+        for another, too in differing[:k]:
+            inside = {i for i in shared & too if own[i][1]}
+            if inside and evidence(other, another) is not None and evidence(another, other) is not None:
+                gone |= inside
+    if len(gone) == len(own):
+        gone = set()
     return "\n\n".join(text for i, (text, _) in enumerate(own) if i not in gone)
 
 

@@ -197,6 +197,17 @@ def test_differencing_drops_what_neighbours_share():
     assert html.main_text(inside, [inside, [("Shared", True), ("more", True)]]) == "Shared"
 
 
+def test_differencing_judges_blocks_outside_and_inside_an_article():
+    page = "<body><div>Home of the site</div><div>Lead of {0}, which says a lot</div><article><p>Share this story</p><p>Body of {0} and its long text</p></article></body>"
+    a, b, c = (html.blocks(page.format(x)) for x in ("apples", "bees", "cedars"))
+    assert html.main_text(a, []) == "Home of the site\n\nLead of apples, which says a lot\n\nShare this story\n\nBody of apples and its long text"
+    assert html.main_text(a, [b]) == "Lead of apples, which says a lot\n\nShare this story\n\nBody of apples and its long text"
+    assert html.main_text(a, [b, c]) == "Lead of apples, which says a lot\n\nBody of apples and its long text"
+    assert html.main_text(a, [b, b]) == html.main_text(a, [b])  # copies of one neighbour count once
+    dated = [*a[:3], ("1 May", True), a[3]]
+    assert html.main_text(a, [dated]) == html.main_text(a, [])  # the same article with a date
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=10), st.lists(st.sampled_from("abcd"), max_size=10))
 def test_common_lines_are_a_longest_subsequence(a, b):
