@@ -9,8 +9,8 @@ from ..functions.text import lines, token_count
 from ..operators import graph, neighbors, rows, segment
 from ..sources import corpus as source
 from . import views
-from .registry import query
-from .views import CORPUS, EDGES, RECORDS, VECTORS, WORDS, pick_sql, table
+from .registry import ORACLE_SQL, query
+from .views import ALL_EDGES, CORPUS, EDGES, RECORDS, VECTORS, WORDS, pick_sql, table
 
 _REASON = """CASE WHEN coalesce(text, '') = '' THEN 'empty' WHEN token_count < 200 THEN 'short'
   WHEN minhash_cluster_size > 1 THEN 'dup' WHEN coalesce(quality, 0) < 0.75 THEN 'lowedu' ELSE 'kept' END"""
@@ -245,26 +245,26 @@ def _start(edges):
 
 
 @query("graph_children", f"WITH {EDGES}, {_START} SELECT v AS node FROM v_edges, start WHERE u = s")
-def graph_children(spark, sf):
-    e = views.edges(spark, sf)
+def graph_children(spark, sf, edges=views.edges):
+    e = edges(spark, sf)
     return e.join(_start(e).withColumnRenamed("node", "u"), "u", "left_semi").select(F.col("v").alias("node"))
 
 
 @query("graph_parents", f"WITH {EDGES}, {_START} SELECT u AS node FROM v_edges, start WHERE v = s")
-def graph_parents(spark, sf):
-    e = views.edges(spark, sf)
+def graph_parents(spark, sf, edges=views.edges):
+    e = edges(spark, sf)
     return e.join(_start(e).withColumnRenamed("node", "v"), "v", "left_semi").select(F.col("u").alias("node"))
 
 
 @query("graph_bfs", f"{_DEPTH} SELECT node FROM d WHERE depth = 3")
-def graph_bfs(spark, sf):
-    e = views.edges(spark, sf)
+def graph_bfs(spark, sf, edges=views.edges):
+    e = edges(spark, sf)
     return graph.layer(e, _start(e), 3).select("node")
 
 
 @query("graph_desc", f"{_REACH} SELECT node FROM r, start WHERE node <> s")
-def graph_desc(spark, sf):
-    e = views.edges(spark, sf)
+def graph_desc(spark, sf, edges=views.edges):
+    e = edges(spark, sf)
     return graph.reachable(e, _start(e)).select("node")
 
 
@@ -273,20 +273,20 @@ def graph_desc(spark, sf):
     f"""WITH RECURSIVE {EDGES}, {_START},
 r(node) AS (SELECT u FROM v_edges, start WHERE v = s UNION SELECT u FROM r JOIN v_edges ON v = node) SELECT node FROM r, start WHERE node <> s""",
 )
-def graph_anc(spark, sf):
-    e = views.edges(spark, sf)
+def graph_anc(spark, sf, edges=views.edges):
+    e = edges(spark, sf)
     return graph.reachable(graph.reversed_edges(e), _start(e)).select("node")
 
 
 @query("graph_sp", f"{_DEPTH} SELECT s AS src, node AS dst, depth AS length FROM d, start WHERE node = (SELECT max(v) FROM v_edges)")
-def graph_sp(spark, sf):
-    e = views.edges(spark, sf)
+def graph_sp(spark, sf, edges=views.edges):
+    e = edges(spark, sf)
     return graph.shortest_path(e, e.agg(F.min("u").alias("src"), F.max("v").alias("dst")))
 
 
 @query("graph_reach", f"{_REACH} SELECT CASE WHEN count(*) > 0 THEN 'Yes' ELSE 'No' END AS answer FROM r WHERE node = (SELECT max(v) FROM v_edges)")
-def graph_reach(spark, sf):
-    e = views.edges(spark, sf)
+def graph_reach(spark, sf, edges=views.edges):
+    e = edges(spark, sf)
     found = graph.reachable(e, _start(e)).join(e.agg(F.max("v").alias("node")), "node")
     return found.agg(F.when(F.count("*") > 0, "Yes").otherwise("No").alias("answer"))
 
@@ -296,13 +296,13 @@ SELECT count(*) > 0 AS has_cycle FROM r WHERE a = b"""
 
 
 @query("graph_cycle", f"WITH RECURSIVE {EDGES}, e AS (SELECT u, v FROM v_edges), {_CYCLE}")
-def graph_cycle(spark, sf):
-    return graph.has_cycle(views.edges(spark, sf))
+def graph_cycle(spark, sf, edges=views.edges):
+    return graph.has_cycle(edges(spark, sf))
 
 
 @query("graph_cycle_dag", f"WITH RECURSIVE {EDGES}, e AS (SELECT u, v FROM v_edges WHERE u < v), {_CYCLE}")
-def graph_cycle_dag(spark, sf):
-    return graph.has_cycle(views.edges(spark, sf).where("u < v"))
+def graph_cycle_dag(spark, sf, edges=views.edges):
+    return graph.has_cycle(edges(spark, sf).where("u < v"))
 
 
 @query(
@@ -310,8 +310,8 @@ def graph_cycle_dag(spark, sf):
     f"""WITH RECURSIVE {EDGES}, {_START}, e AS (SELECT u, v FROM v_edges UNION SELECT v, u FROM v_edges),
 r(node) AS (SELECT s FROM start UNION SELECT v FROM r JOIN e ON u = node) SELECT count(*) AS n FROM r""",
 )
-def graph_component(spark, sf):
-    e = views.edges(spark, sf)
+def graph_component(spark, sf, edges=views.edges):
+    e = edges(spark, sf)
     return graph.weak_component(e, _start(e)).agg(F.count("*").alias("n"))
 
 
@@ -320,8 +320,8 @@ def graph_component(spark, sf):
     f"""WITH {EDGES}, d AS (SELECT node, count(*) AS degree FROM (SELECT u AS node FROM v_edges UNION ALL SELECT v FROM v_edges) GROUP BY node)
 SELECT node, degree FROM d WHERE degree = (SELECT max(degree) FROM d)""",
 )
-def graph_maxdeg(spark, sf):
-    return graph.max_degree(views.edges(spark, sf))
+def graph_maxdeg(spark, sf, edges=views.edges):
+    return graph.max_degree(edges(spark, sf))
 
 
 @query(
@@ -329,8 +329,23 @@ def graph_maxdeg(spark, sf):
     f"""WITH {EDGES}, x AS (SELECT u AS node, 1 AS o, 0 AS i FROM v_edges UNION ALL SELECT v, 0, 1 FROM v_edges)
 SELECT node, CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i) AS BIGINT) AS in_degree, count(*) AS degree FROM x GROUP BY node""",
 )
-def graph_degrees(spark, sf):
-    return graph.degrees(views.edges(spark, sf))
+def graph_degrees(spark, sf, edges=views.edges):
+    return graph.degrees(edges(spark, sf))
+
+
+def _over_all_edges(f):
+    sql = ORACLE_SQL[f.__name__].replace(EDGES, ALL_EDGES)
+
+    @query(f.__name__.replace("graph_", "graph_all_"), sql)
+    def build(spark, sf):
+        return f(spark, sf, views.all_edges)
+
+
+for _f in (
+    graph_children, graph_parents, graph_bfs, graph_desc, graph_anc, graph_sp, graph_reach, graph_cycle, graph_cycle_dag, graph_component,
+    graph_maxdeg, graph_degrees,
+):
+    _over_all_edges(_f)
 
 
 # Chains of variables ---------------------------------------------------------

@@ -48,17 +48,26 @@ def word_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.posexplode(found).alias("pos", "word")).where(F.length("word").between(3, 12))
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Who acts after whom: the first two transitions of each user, distinct.
+def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who acts after whom, in order of time.
 
     The driver's event log has one time order, so the lead over it is global;
     only ids and times go through that sort.
     """
     in_time = Window.orderBy("ts", "event_id")
     step = table(spark, sf_dir, "events").select("ts", "event_id", F.col("user_id").alias("u"), F.lead("user_id").over(in_time).alias("v"))
-    step = step.where("v IS NOT NULL AND u <> v")
+    return step.where("v IS NOT NULL AND u <> v")
+
+
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two transitions of each user, distinct: a thin graph of many layers."""
     nth = F.row_number().over(Window.partitionBy("u").orderBy("ts", "event_id"))
-    return step.withColumn("n", nth).where("n <= 2").select("u", "v").distinct()
+    return _steps(spark, sf_dir).withColumn("n", nth).where("n <= 2").select("u", "v").distinct()
+
+
+def all_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transition, distinct."""
+    return _steps(spark, sf_dir).select("u", "v").distinct()
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +96,11 @@ EDGES = """v_edges AS (
     ) WHERE v IS NOT NULL AND u <> v
   ) WHERE n <= 2
 )"""
+ALL_EDGES = """v_edges AS (
+  SELECT DISTINCT u, v FROM (
+    SELECT user_id AS u, lead(user_id) OVER (ORDER BY ts, event_id) AS v FROM events
+  ) WHERE v IS NOT NULL AND u <> v
+)"""
 VECTORS = "v_vec AS (SELECT vec_id, embedding, 1000 + vec_id % 500 AS n_tokens FROM embeddings)"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from longloom import plans
 from longloom.operators import graph, neighbors, segment
-from longloom.plans import corpus_tasks, requests, synth, verify
+from longloom.plans import corpus_tasks, requests, synth, verify, views
 from longloom.sources import corpus, storage
 
 SF = "/root/testdata/sf0.001"
@@ -55,6 +55,22 @@ def test_closures_on_a_cycle(spark):
     assert graph.has_cycle(e).first()[0] and not graph.has_cycle(e.where("u <> 'c'")).first()[0]
 
 
+@pytest.mark.parametrize("name", ["graph_all_degrees", "graph_all_bfs", "graph_all_cycle_dag"])
+def test_graphs_over_all_edges(spark, db, name):
+    test_query_equals_its_sql(spark, db, name)
+
+
+def test_all_edges_has_every_transition(spark, tmp_path):
+    users = [1, 2, 1, 3, 1, 4, 1, 1, 5, 1, 2]
+    pd.DataFrame({"ts": pd.to_datetime(range(11), unit="s"), "event_id": range(11), "user_id": users}).astype({"ts": "datetime64[us]"}).to_parquet(
+        tmp_path / "events.parquet"
+    )
+    got = {(r.u, r.v) for r in views.all_edges(spark, str(tmp_path)).collect()}
+    assert got == {(a, b) for a, b in zip(users, users[1:]) if a != b} and len([v for u, v in got if u == 1]) == 4
+    degrees = {r.node: r.out_degree for r in plans.get("graph_all_degrees")(spark, str(tmp_path)).collect()}
+    assert degrees == {1: 4, 2: 1, 3: 1, 4: 1, 5: 1}
+
+
 def test_corpus_reading(spark, tmp_path):
     with pytest.raises(ValueError, match="no parquet"):
         corpus.read_corpus(spark, str(tmp_path / "none"))
