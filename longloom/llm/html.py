@@ -8,13 +8,15 @@ within their host, their lines are aligned by longest common subsequence, and
 shared lines are deleted. Lines inside an ``article`` or ``main`` element go
 only when two neighbours with different articles share them, as copies of one
 article on two pages would otherwise delete each other; for the same reason a
-neighbour that is a copy or near copy of the page is no evidence.
+neighbour that is a copy or near copy of the page is no evidence and the
+search goes on to the nearest page that differs enough.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
 
@@ -22,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import partitions
+
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 _markup = re.compile(
@@ -141,8 +145,6 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     Hunt and Szymanski's way: the longest rising run of matching positions of
     ``b``, each line's matches tried from the last to the first.
     """
-    from bisect import bisect_left
-
     places: dict[str, list[int]] = {}
     for j, line in enumerate(b):
         places.setdefault(line, []).append(j)
@@ -199,67 +201,172 @@ def main_text(own: list[tuple[str, bool]], neighbours: list[list[tuple[str, bool
     return "\n\n".join(text for i, (text, _) in enumerate(own) if i not in gone)
 
 
-def _host_and_path(url: str | None) -> tuple[str, str]:
-    m = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)([^?#]*)", url or "")
-    return (m.group(1).lower(), m.group(2)) if m else ("", url or "")
+class _Page:
+    """A page with the blocks of the nearest pages before and behind it that are no near copies of it."""
+
+    __slots__ = ("page_id", "url", "site", "own", "guest", "before", "behind", "links")
+
+    def __init__(self, page_id, url, site, own, guest):
+        self.page_id, self.url, self.site, self.own, self.guest = page_id, url, site, own, guest
+        self.before: list[list] = []
+        self.behind: list[list] = []
+        self.links: list[_Page] = []  # the pages of ``before``
+
+
+def paired(pages: Iterator[_Page], reach: int) -> Iterator[_Page]:
+    """``pages``, sorted by site and path, each once it has ``reach`` differing neighbours on either side or its site ends.
+
+    From a near copy the search goes on with what that one found, so a run of
+    copies costs no more than other pages do; only pages that have met nothing
+    but near copies behind them are kept waiting.
+    """
+    last: _Page | None = None
+    waiting: list[_Page] = []
+
+    def ended() -> Iterator[_Page]:
+        for page in waiting:
+            if not page.behind and evidence(page.own, last.own) is not None:
+                page.behind.append(last.own)
+            yield page
+        waiting.clear()
+
+    for page in pages:
+        if last is not None and page.site != last.site:
+            yield from ended()
+            last = None
+        if last is not None and page.own == last.own:
+            page.own, page.before, page.links = last.own, last.before, last.links
+        elif last is not None:
+            for other in [last, *last.links, *(x for link in last.links for x in link.links)]:
+                if len(page.links) < reach and evidence(page.own, other.own) is not None:
+                    page.links.append(other)
+                    page.before.append(other.own)
+            for link in page.links:
+                for x in link.links:
+                    x.links = []  # no longer chain is kept
+            if evidence(last.own, page.own) is not None:
+                differs: dict[int, bool] = {}
+                still = []
+                for x in waiting:
+                    if id(x.own) not in differs:
+                        differs[id(x.own)] = evidence(x.own, page.own) is not None
+                    if differs[id(x.own)]:
+                        x.behind.append(page.own)
+                    if len(x.behind) < reach:
+                        still.append(x)
+                    else:
+                        yield x
+                waiting[:] = still
+        if not page.guest:
+            waiting.append(page)
+        last = page
+    yield from ended()
 
 
 def _extracted(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
-    """Texts of pages that come sorted by host and path; each looks ``reach`` pages back and ahead."""
+    """Texts of pages that come sorted by range, host and path."""
     names = [f.split()[0] for f in SCHEMA.split(", ")]
+    types = (pa.int64(), pa.string(), pa.string(), pa.int64())
     rows: list[tuple] = []
 
     def pages():
         for batch in batches:
-            for page_id, url, source in zip(*(batch.column(c) for c in ("page_id", "url", "html")), strict=True):
-                page = source.as_py()
-                address = url.as_py()
-                yield page_id.as_py(), address, _host_and_path(address)[0], blocks(page or "")
+            for page_id, url, source, host, in_range, guest in zip(*batch.columns, strict=True):
+                site = (in_range.as_py(), host.as_py())
+                yield _Page(page_id.as_py(), url.as_py(), site, blocks(source.as_py() or ""), guest.as_py())
 
     def out():
-        columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+        columns = list(zip(*rows, strict=True))
         rows.clear()
-        types = (pa.int64(), pa.string(), pa.string(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    near: deque = deque()
-    stream, done, at = pages(), False, 0
-    while True:
-        while not done and len(near) <= at + reach:
-            page = next(stream, None)
-            if page is None:
-                done = True
-            else:
-                near.append(page)
-        if at >= len(near):
-            break
-        page_id, url, host, own = near[at]
-        others = [p[3] for i, p in enumerate(near) if i != at and p[2] == host]
-        text = main_text(own, others)
-        rows.append((page_id, url, text, len(text)))
+    for page in paired(pages(), reach):
+        text = main_text(page.own, page.before + page.behind)
+        rows.append((page.page_id, page.url, text, len(text)))
         if len(rows) >= 500:
             yield out()
-        if at == reach:
-            near.popleft()
-        else:
-            at += 1
     if rows:
         yield out()
 
 
+_KEY = ("host", "path", "at_id", "at_url")
+_PATHS, _ROWS = 8, 64
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a sorted range of keys: the first, the last of its head and the first of its tail.
+
+    Head and tail are the ``_PATHS`` outermost paths of the host there, at most ``_ROWS`` pages.
+    """
+
+    def inner(keys: list[tuple]) -> tuple | None:
+        paths, found = set(), None
+        for key in keys:
+            paths.add(key[1])
+            if key[0] != keys[0][0] or len(paths) > _PATHS:
+                break
+            found = key
+        return found
+
+    head, tail = [], deque(maxlen=_ROWS)
+    for batch in batches:
+        for key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if len(head) < _ROWS:
+                head.append(key)
+            tail.append(key)
+    if head:
+        keys = [head[0], inner(head), inner([*reversed(tail)])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([[k[i] for k in keys]], pa.list_(pa.int64() if i == 2 else pa.string())) for i in range(4)], list(_KEY)
+        )
+
+
+def _ranges(bounds: list[tuple[tuple, tuple, tuple]]):
+    """For a key, 2 x its range, and 2 x range + 1 for a neighbouring range that sees it as a guest."""
+    firsts, heads, tails = (list(x) for x in zip(*bounds, strict=True))
+
+    @F.arrow_udf("array<int>")
+    def dealt(host: pa.Array, path: pa.Array, at_id: pa.Array, at_url: pa.Array) -> pa.Array:
+        out = []
+        for key in zip(*(c.to_pylist() for c in (host, path, at_id, at_url)), strict=True):
+            i = max(0, bisect_right(firsts, key) - 1)
+            to = [2 * i]
+            if i and key <= heads[i]:
+                to.append(2 * i - 1)
+            if i + 1 < len(firsts) and key >= tails[i]:
+                to.append(2 * i + 3)
+            out.append(to)
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return dealt
+
+
 def extract(pages: DataFrame, reach: int = 1) -> DataFrame:
     """Main text of every row of ``pages`` (page_id, url, html).
 
-    Pages are range-partitioned and sorted by host, path and page_id, so that
-    neighbours by URL lie side by side and a host with very many pages spreads
-    over tasks; each is compared with ``reach`` pages on either side of the
-    same host. At the edge of a partition only one side is there. Null and
-    empty html gives an empty text, a null url is a host of its own name "".
-    Repeated rows each get a row; other columns are not read.
+    Pages are dealt in ranges of host, path and page_id, so that neighbours by
+    URL lie side by side and a host with very many pages spreads over tasks;
+    each is compared with the ``reach`` nearest pages of its host on either
+    side that are no near copies of it. The bounds come from a pass over the
+    keys; the outermost 8 paths (at most 64 pages) of a range also go to the
+    range next to it, as neighbours only. Null and empty html gives an empty
+    text, a null url is a host of its own name "". Repeated rows each get a
+    row; other columns are not read.
     """
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1))
-    path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*([^?#]*)", 1)
-    rows = pages.select(F.col("page_id").cast("long"), "url", "html", host.alias("host"), path.alias("path"))
-    order = ["host", "path", "page_id", "url"]
-    near = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return near.select("page_id", "url", "html").mapInArrow(lambda b: _extracted(b, reach), SCHEMA)
+    url = F.coalesce("url", F.lit(""))
+    host = F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1))
+    path = F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*([^?#]*)", 1)
+    page_id = F.col("page_id").cast("long")
+    at_id = F.coalesce(page_id, F.lit(-(1 << 63)))
+    rows = pages.select(page_id.alias("page_id"), "url", "html", host.alias("host"), path.alias("path"), at_id.alias("at_id"), url.alias("at_url"))
+    count = pages.count()
+    n = min(max(partitions(pages), count // 2000 + 1), count // 50 + 1)
+    in_order = rows.select(*_KEY).repartitionByRange(n, *_KEY).sortWithinPartitions(*_KEY)
+    schema = ", ".join(f"{k} array<{'long' if k == 'at_id' else 'string'}>" for k in _KEY)
+    bounds = sorted(tuple(zip(*r, strict=True)) for r in in_order.mapInArrow(_edges, schema).collect())
+    if not bounds:
+        bounds = [(("", "", 0, ""),) * 3]
+    to = F.explode(_ranges(bounds)(*_KEY)).alias("to")
+    near = rows.select("*", to).withColumns({"range": F.expr("to div 2").cast("int"), "guest": F.col("to") % 2 == 1})
+    near = near.repartitionById(len(bounds), "range").sortWithinPartitions("range", *_KEY)
+    return near.select("page_id", "url", "html", "host", "range", "guest").mapInArrow(lambda b: _extracted(b, reach), SCHEMA)

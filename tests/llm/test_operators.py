@@ -246,3 +246,18 @@ def test_html(spark):
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     assert text[2] == "Story 2" and text[10] == "" and text[12] == "<b>"
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_html_searches_past_copies_and_range_bounds(spark, monkeypatch):
+    page = lambda body: f"<body><div>Home of the site</div><div>{body}</div><div>Contact us here</div></body>"
+    story = lambda x: f"Story of {x} which is long enough to count as an article of its own"
+    run = [(i, f"http://h.example/a?{i}", page(story("apples"))) for i in range(5)] + [(5, "http://h.example/b", page(story("bees")))]
+    dated = [(10 + i, f"http://d.example/a{i}", f"<p>{story('figs')}</p><p>Date {i}</p>") for i in range(2)]
+    pairs = [(100 + i, f"http://two{i // 2:03}.example/{i % 2}", page(story(f"no. {i}"))) for i in range(400)]
+    frame = spark.createDataFrame(run + dated + pairs, "page_id long, url string, html string")
+    monkeypatch.setattr(html, "partitions", lambda df: 8)
+    got = {r.page_id: r.text for r in html.extract(frame).collect()}
+    assert len(got) == 408
+    assert all(got[i] == story("apples") for i in range(5)) and got[5] == story("bees")
+    assert got[10] == f"{story('figs')}\n\nDate 0"
+    assert all(got[100 + i] == story(f"no. {i}") for i in range(400))
