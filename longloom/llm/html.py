@@ -29,7 +29,7 @@ from ._shared import partitions
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 _markup = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|math|iframe|object|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?:svg|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|<(script|style|noscript|template|textarea|svg|math|iframe|object|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
@@ -42,6 +42,8 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LEFT_OUT = frozenset("head nav footer aside form button dialog menu label input".split())
+#: Elements whose class and id names are read.
+CONTAINERS = frozenset("article aside center details div dl fieldset figure footer header ol section table ul".split())
 #: Words in class and id names of containers that are not main text.
 NAMES = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments"
@@ -50,6 +52,12 @@ NAMES = frozenset(
     " respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget"
     " widgets".split()
 )
+#: Words that may stand beside those in one name; with any other word it names a subject, as in related-work.
+BESIDE = frozenset(
+    "area articles bar block bottom box btn button buttons center column container content fixed form global google group header icon icons inline inner"
+    " items label left links list main message mobile more news outer page panel post posts primary right row secondary section site slot stories text"
+    " thread top unit wrap wrapper".split()
+)
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 _AUTOCLOSE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _words = re.compile(r"[a-z]+|[A-Z][a-z]*").findall
@@ -63,11 +71,11 @@ def _is_left_out(tag: str, attributes: str, in_main: bool) -> bool:
     for m in _attribute.finditer(attributes):
         name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
         if name in ("class", "id"):
-            if tag in ("body", "html", "main"):
+            if tag not in CONTAINERS:
                 continue
             for part in value.split():
                 words = {w.lower() for w in _words(part)}
-                if words & NAMES and not (tag == "article" and not words & {"comment", "comments", "reply", "ad", "advert", "promo", "related"}):
+                if words & NAMES and words <= NAMES | BESIDE and not (tag == "article" and not words & {"comment", "comments", "reply", "ad", "advert", "promo", "related"}):
                     return True
         elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True

@@ -188,6 +188,15 @@ def test_html_blocks():
     assert [t for t, _ in html.blocks("<nav>menu<article><p>x</p></article>")] == ["x"]
 
 
+def test_html_names_are_read_on_containers_and_closely():
+    page = (
+        "<article><h2 id='social-security'>Social</h2><section id='related-work'><p class='notice'>Prior <span class='ad'>art</span></p></section>"
+        "<h2 id='hidden-costs'>Costs</h2><svg viewBox='0 0 1 1'/><p>Seen<math/> too</p><svg><path/>drawn</svg><p>End</p></article>"
+        "<div class='related-posts'>more</div><ul class='share'><li>share</ul><section id='comment-list-2'>nice</section><div class='x adSlot'>buy</div>"
+    )
+    assert [t for t, _ in html.blocks(page)] == ["Social", "Prior art", "Costs", "Seen too", "End"]
+
+
 def test_differencing_drops_what_neighbours_share():
     own = [("Menu", False), ("Text of a", False), ("Foot", False)]
     other = [("Menu", False), ("Text of b", False), ("Foot", False)]
