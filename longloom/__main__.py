@@ -34,7 +34,7 @@ def synth(spark, a):
         print("\n".join(s.TASKS))
         return
     words = spark.read.text(a.words).select(F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]+"), 0)).alias("word"))
-    pool = words.where(F.length("word").between(3, 12)).distinct().orderBy("word").limit(20_000)
+    pool = words.where(F.length("word").between(3, 12)).distinct()
     for name in s.TASKS if a.task == "all" else a.task.split(","):
         size = s.fit_size(spark, name, a.max_seq_length - s.get_task(name).reserve_tokens, pool, a.seed)
         _write(s.samples(spark, name, a.num_samples, size, pool, a.seed), a)

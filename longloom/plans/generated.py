@@ -2,32 +2,47 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import hashed
 from ..functions.text import clean_summary, negative_markers, positive_markers, qa_pair, words
+from ..operators import segment
+from ..sources.storage import stored
 from . import corpus_tasks as tasks
 from . import requests, shape, synth, verify, views
 from .registry import query
 from .views import pick_sql, table
 
 POOL_WORDS = 600
+POOL_PASSAGES = 20_000
 N, SIZE = 8, 60
 
 
-def _pool(spark, sf):
-    """Words for generated lists: the first in alphabetical order, a bounded list."""
-    return views.word_stream(spark, sf).select("word").distinct().orderBy("word").limit(POOL_WORDS)
+def _pool(spark, sf, name: str):
+    """(sample_id, word): for each sample, words drawn by hash from the whole vocabulary, more than a sample uses."""
+    words = stored(views.word_stream(spark, sf).select("word").distinct(), "vocabulary")
+    drawn = [
+        words.orderBy(hashed(42, name, F.lit(i), "pool", F.col("word")), "word").limit(POOL_WORDS).select(F.lit(i).cast("long").alias("sample_id"), "word")
+        for i in range(N)
+    ]
+    return reduce(DataFrame.unionByName, drawn)
+
+
+def _samples(spark, sf, name: str):
+    return synth.samples(spark, name, N, SIZE, _pool(spark, sf, name))
 
 
 def _synthetic(name: str):
     @query(f"synth_{name}")
     def build(spark, sf):
-        return synth.samples(spark, name, N, SIZE, _pool(spark, sf))
+        return _samples(spark, sf, name)
 
     @query(f"verify_{name}", f"SELECT '{name}' AS task, CAST({N} AS BIGINT) AS n_ok, CAST({N} AS BIGINT) AS n")
     def check(spark, sf):
-        return verify.summary(verify.check(synth.samples(spark, name, N, SIZE, _pool(spark, sf)), name))
+        return verify.summary(verify.check(_samples(spark, sf, name), name))
 
 
 for _name in synth.TASKS:
@@ -38,12 +53,8 @@ for _name in synth.TASKS:
 
 
 def _passages(spark, sf):
-    """Documents of 200 to 2,000 characters stand in for passages, numbered from 0."""
-    docs = table(spark, sf, "documents").where("n_chars BETWEEN 200 AND 2000").select("doc_id", "text").orderBy("doc_id").limit(400)
-    from pyspark.sql import Window
-
-    pid = F.row_number().over(Window.orderBy("doc_id")) - 1  # over the pool only
-    return docs.select(pid.cast("long").alias("pid"), "text")
+    """Passages of all documents, cut as the surveyed operator cuts them; written once, as samples count and join them."""
+    return stored(segment.passage_pool(table(spark, sf, "documents"), POOL_PASSAGES), "passages")
 
 
 @query("retrieval_samples")

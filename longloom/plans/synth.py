@@ -66,8 +66,10 @@ def get_task(name: str) -> Task:
 
 
 def params(spark: SparkSession, n: int, size: int, pool: list[str] | DataFrame, first: int = 0) -> DataFrame:
-    """(sample_id, size, pool) for ``n`` samples; the pool is one short list."""
+    """(sample_id, size, pool) for ``n`` samples; the pool is one list for all, or one for each ``sample_id``."""
     rows = spark.range(first, first + n).select(F.col("id").alias("sample_id"), F.lit(size).alias("size"))
+    if isinstance(pool, DataFrame) and "sample_id" in pool.columns:
+        return rows.join(pool.groupBy("sample_id").agg(F.array_sort(F.collect_set("word")).alias("pool")), "sample_id")
     if isinstance(pool, DataFrame):
         return rows.join(F.broadcast(pool.agg(F.array_sort(F.collect_set("word")).alias("pool"))))
     return rows.withColumn("pool", F.array(*map(F.lit, pool)))

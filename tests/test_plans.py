@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from longloom import plans
 from longloom.operators import graph, neighbors, segment
-from longloom.plans import corpus_tasks, requests, synth, verify, views
+from longloom.plans import corpus_tasks, generated, requests, synth, verify, views
 from longloom.sources import corpus, storage
 
 SF = "/root/testdata/sf0.001"
@@ -189,3 +189,19 @@ def test_jsonl_round_trip(spark, tmp_path):
 def test_zipf_counts_are_floors(spark):
     got = {r.rank: r.n for r in plans.get("zipf_counts")(spark, SF).collect()}
     assert got[1] == math.floor(5000 / 2.612375348685488)
+
+
+def test_pools_reach_the_whole_corpus(spark):
+    pool = generated._pool(spark, SF, "word_count").collect()
+    vocabulary = {r.word for r in views.word_stream(spark, SF).select("word").distinct().collect()}
+    half = sorted(vocabulary)[len(vocabulary) // 2]
+    for i in range(generated.N):
+        words = {r.word for r in pool if r.sample_id == i}
+        assert len(words) == generated.POOL_WORDS and words <= vocabulary
+        assert 0.4 < sum(w > half for w in words) / len(words) < 0.6
+    docs = views.table(spark, SF, "documents")
+    longest = docs.orderBy(F.desc("n_chars")).first().text
+    found = [r.text for r in generated._passages(spark, SF).collect()]
+    assert len(longest) > 2000 and sum(p[:100] in " ".join(longest.split()) for p in found) > 1
+    cut = docs.select(F.explode(segment.passages(F.col("text"))))
+    assert len(found) == min(cut.count(), 20_000)
