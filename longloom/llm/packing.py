@@ -72,9 +72,9 @@ def pack_partition(documents, first_sequence: int, window: int = WINDOW):
     """Pieces (doc, start, length, sequence, offset) for documents (doc, length), in input order.
 
     Whole windows are cut off a long document at once; the rest of it is one
-    piece for ``Levels``. Pieces that sit in windows still partly full at the
-    end are held back and cut once more, to fill window after window; what is
-    left over becomes sequences whose lengths are powers of two, so that a
+    piece for ``Levels``. Of the windows still partly full at the end, the
+    emptiest are given up and their pieces cut once more to fill the others;
+    what is left over becomes sequences whose lengths are powers of two, so that a
     partition ends without padding. Only those held back (one list per open
     window) are kept in memory.
     """
@@ -100,18 +100,36 @@ def pack_partition(documents, first_sequence: int, window: int = WINDOW):
                 for d, s, n in held.pop(sequence):
                     yield d, s, n, sequence, at
                     at += n
-    rest = [piece for _, s in levels.partly_full() for piece in held[s]]
-    left = sum(n for *_, n in rest)
-    sizes = [window] * (left // window) + [1 << b for b in reversed(range(window.bit_length())) if (left % window) >> b & 1]
+    # fullest first; the emptiest windows are given up, just enough of them to fill the others
+    open_windows, gap, given = levels.partly_full(), 0, 0
+    first, last = 0, len(open_windows)
+    while first < last:
+        if gap + window - open_windows[first][0] <= given:
+            gap += window - open_windows[first][0]
+            first += 1
+        else:
+            last -= 1
+            given += open_windows[last][0]
+    sizes = []
+    for level, sequence in open_windows[:first]:
+        at = 0
+        for d, s, n in held[sequence]:
+            yield d, s, n, sequence, at
+            at += n
+        sizes.append((window - level, sequence, level))
+    left = given - gap
+    for size in [window] * (left // window) + [1 << b for b in reversed(range(window.bit_length())) if (left % window) >> b & 1]:
+        sizes.append((size, fresh(), 0))
     room, sequence, at = 0, -1, 0
     sizes.reverse()
-    for d, s, n in rest:
-        while n:
-            if not room:
-                room, sequence, at = sizes.pop(), fresh(), 0
-            take = min(n, room)
-            yield d, s, take, sequence, at
-            s, n, room, at = s + take, n - take, room - take, at + take
+    for _, given_up in open_windows[first:]:
+        for d, s, n in held[given_up]:
+            while n:
+                if not room:
+                    room, sequence, at = sizes.pop()
+                take = min(n, room)
+                yield d, s, take, sequence, at
+                s, n, room, at = s + take, n - take, room - take, at + take
 
 
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"

@@ -111,6 +111,16 @@ def test_packing_keeps_every_token_once(lengths):
         assert at == 32 or at < 32 and at & (at - 1) == 0
 
 
+def test_packing_recuts_only_the_emptiest_windows():
+    lengths = [20] * 16  # sixteen windows with a gap of 12 each
+    pieces = list(packing.pack_partition(iter(enumerate(lengths)), 0, window=32))
+    assert sum(size == 20 for _, _, size, *_ in pieces) >= 10
+    sizes = {}
+    for _, _, size, sequence, _ in pieces:
+        sizes[sequence] = sizes.get(sequence, 0) + size
+    assert sum(sizes.values()) == 320 and sorted(sizes.values())[0] == 32
+
+
 def test_word_ids_equal_the_tokenizer():
     w = packing.WordIds(public.path("word_bpe_49k.json"), most=10)
     odd = ["", "a\x1cb", "Straße ΣΑΣ", "é x́", "don't CAN'T", "x y　z", "<|endoftext|> hi", "½a", "  a\t\tc\r\n", "ﬁ İx", "😀😀 a😀", "end.", "(see)", "\x00"]
