@@ -216,6 +216,27 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those with its smallest doc_id."""
-    found = near_duplicates(docs, **options).where("NOT kept").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    """One row of ``docs`` for each component: that with its smallest doc_id, null being the largest.
+
+    Where a doc_id is null or repeated, rows are told apart by a hash of id and
+    text, and of rows equal in both one stays. Rows without a shingle are
+    copies only of rows with their doc_id.
+    """
+    if not docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
+        found = near_duplicates(docs, **options).where("NOT kept").select("doc_id").distinct()
+        return docs.join(found, "doc_id", "left_anti")
+    keyed = docs.withColumn("_longloom_key", F.xxhash64("doc_id", "text"))
+    found = near_duplicates(keyed.select(F.col("_longloom_key").alias("doc_id"), "text"), **options)
+    found = stored(found.select(F.col("doc_id").alias("_longloom_key"), "component_id", "n_shingles").distinct(), "components")
+    ids = keyed.select("_longloom_key", F.col("doc_id").cast("long").alias("id")).distinct()
+    rows = found.join(ids, "_longloom_key")
+    bare = (F.col("n_shingles") == 0) & F.col("id").isNotNull()
+    group = F.when(bare, F.struct(F.lit(True).alias("bare"), F.col("id").alias("of"))).otherwise(
+        F.struct(F.lit(False).alias("bare"), F.col("component_id").alias("of"))
+    )
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_longloom_key", "n_shingles")).alias("best")
+    chosen = rows.groupBy(group.alias("group")).agg(best).select("best._longloom_key", "best.none", "best.n_shingles")
+    kept = keyed.join(chosen, "_longloom_key")
+    lone = F.col("none") & (F.col("n_shingles") == 0)  # without id and without words: nothing says that they are copies
+    once = kept.where(~lone).dropDuplicates(["_longloom_key"]).unionByName(kept.where(lone))
+    return once.select(*docs.columns)

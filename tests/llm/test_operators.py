@@ -237,6 +237,13 @@ def test_held_out_quality_and_toxicity(spark):
     assert a == b
 
 
+def test_keep_one_keeps_one_row_of_each_component(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (2, b), (2, b), (3, a), (3, c), (None, a), (None, c), (None, ""), (None, None), (4, ""), (4, "")]
+    kept = minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, [(1, a), (2, b), (3, c), (None, ""), (None, None), (4, "")]))
+
+
 def test_html(spark):
     page = lambda body: f"<body><div>Home</div><div>{body}</div><div>Contact us</div></body>"
     rows = [(i, f"http://h.example/{i}", page(f"Story {i}"), "x") for i in range(6)]
