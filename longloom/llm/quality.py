@@ -181,12 +181,15 @@ def learn(
     """Fit on bounded samples of labelled rows and of ``docs`` without labels.
 
     Labels of the held-out fold (crc32 of the id, mod 5, is 0) are not read.
-    The unlabelled sample is spread over the table by a hash of id and text.
+    The unlabelled sample is spread over the table by a hash of id and text,
+    and taken in the order of that hash, however the table is split.
     """
     found = sample_labelled(docs, labels, "quality", {1: good_rows, 0: bad_rows}, max_chars)
+    whole = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
     share = min(1.0, 1.2 * unlabelled_rows / max(docs.count(), 1))
-    some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    some = some.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("text").limit(unlabelled_rows)
+    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    some = whole.where(mark < int(share * (1 << 30))).select(mark.alias("h"), "doc_id", "text")
+    some = some.orderBy("h", "doc_id", "text").limit(unlabelled_rows).select("text")
     unlabelled = [r[0] for r in some.toLocalIterator()]
     return fit(_figures_of(found[1]), _figures_of(unlabelled), _figures_of(found[0]))
 

@@ -237,6 +237,16 @@ def test_held_out_quality_and_toxicity(spark):
     assert a == b
 
 
+def test_unlabelled_sample_does_not_depend_on_the_split(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, sentence(i, 12)) for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    met = []
+    monkeypatch.setattr(quality, "_figures_of", lambda sample: met.append(sample) or np.zeros((0, len(quality.FIGURES))))
+    for n in (1, 7):
+        quality.learn(docs.orderBy(F.desc("doc_id") if n == 7 else "doc_id").coalesce(1).repartition(n), labels, unlabelled_rows=50)
+    assert len(met[1]) == 50 and met[1] == met[4]
+
+
 def test_keep_one_keeps_one_row_of_each_component(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
     rows = [(1, a), (2, b), (2, b), (3, a), (3, c), (None, a), (None, c), (None, ""), (None, None), (4, ""), (4, "")]
