@@ -38,3 +38,9 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held)
 
 
+def root(parent: dict, x: int) -> int:
+    """The root of ``x`` in a forest of joined sets; paths are halved on the way."""
+    while parent.setdefault(x, x) != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x

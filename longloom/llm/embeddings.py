@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._groups import sorted_groups
+from ._groups import root, sorted_groups
 from ._shared import components, partitions, stored
 
 _LINKS = "id long, other long, n_links long"
@@ -56,13 +56,6 @@ def _coded(batches: Iterator[pa.RecordBatch], width: int, tables: int, bits: int
         )
 
 
-def _root(parent: dict, x: int) -> int:
-    while parent.setdefault(x, x) != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
-
-
 def _compared(batches: Iterator[pa.RecordBatch], width: int, tables: int, threshold: float) -> Iterator[pa.RecordBatch]:
     """Links of each row with the rows of its bucket block pair, and forest edges.
 
@@ -103,7 +96,7 @@ def _compared(batches: Iterator[pa.RecordBatch], width: int, tables: int, thresh
         counts.extend(n[some].astype(np.int64).tolist())
         parent: dict[int, int] = {}
         for u, v in zip(id_[a].tolist(), id_[b].tolist(), strict=True):
-            ru, rv = _root(parent, u), _root(parent, v)
+            ru, rv = root(parent, u), root(parent, v)
             if ru != rv:
                 parent[max(ru, rv)] = min(ru, rv)
                 ids.append(u)

@@ -244,3 +244,18 @@ def test_common_lines_are_a_longest_subsequence(a, b):
 def test_unknown_byte_is_an_error():
     with pytest.raises(ValueError):
         bpe.BacktrackBPE({b"a": 0}).encode_word(b"ab")
+
+
+def test_intersection_sizes_by_products():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64) << np.uint64(50)) for n in (0, 1, 30, 30, 80, 12)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    got = minhash.intersections(sets, columns=7)
+    assert all(got[i][j] == want[i][j] for i in range(6) for j in range(6) if i != j)
+
+
+def test_signatures_of_unrelated_long_texts_seldom_agree():
+    m = minhash.Circulant(36, 7, places=1 << minhash.PLACE_BITS)
+    rng = np.random.default_rng(9)
+    a, b = (m.signature(rng.integers(0, 1 << 63, 1_000_000).astype(np.uint64)) for _ in range(2))
+    assert (a == b).mean() < 0.25

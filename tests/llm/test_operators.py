@@ -137,6 +137,39 @@ def test_links_across_a_bucket_are_not_lost(spark):
     assert {r.doc_id: r.component_id for r in got} == group
 
 
+def test_a_large_group_whose_members_mostly_fail_against_their_leader(spark):
+    """Edits of one text that keep 0.8 with the next few only; copies, repeated ids and other texts beside them."""
+    rng = np.random.default_rng(3)
+    base = sentence(7, 100).split(" ")
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for j in rng.choice(100, 1 + i % 6, replace=False):
+            w[j] = f"z{i}q{j}"
+        rows.append((1000 - i, " ".join(w)))
+    rows += [(2000 + i, rows[i % 7][1]) for i in range(20)] + [(3000 + i, sentence(900 + i, 80)) for i in range(40)]
+    group, sets = brute_groups(rows, 4)
+    failing = sum(100 * len(s & sets[0][1]) < 80 * len(s | sets[0][1]) for _, s in sets[:160])
+    assert failing > 80
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for block in (8, 256):
+        got = minhash.near_duplicates(frame, size=4, block=block).collect()
+        assert {r.doc_id: r.component_id for r in got} == group
+
+
+def test_one_id_on_two_texts_joins_their_groups(spark):
+    a, b = sentence(1, 40), sentence(2, 40)
+    frame = spark.createDataFrame([(1, a), (5, a), (5, b), (9, b)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame).collect()} == {(1, 1), (5, 1), (9, 1)}
+
+
+def test_recall_at_default_settings(spark):
+    """Pairs found on a driver table, against all pairs by brute force."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    group, _ = brute_groups([(r.doc_id, r.text) for r in docs.collect()], 5)
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == group
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((300, 16)).astype(np.float32)
