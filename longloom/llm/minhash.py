@@ -281,6 +281,10 @@ def near_duplicates(
     shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     met = stored(banded.join(shared.select("bucket"), "bucket").select("bucket", "id", "n"), "buckets")
 
+    # texts are shuffled whole once; what follows moves those of classes that met another only
+    sources = plain.where("text IS NOT NULL").join(met.select(F.col("id").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+    sources = stored(sources, "texts")
+
     label, links, tried, work = None, None, None, None
     few = 64 * met.count()
     for turn in range(max(rounds, 1)):
@@ -297,7 +301,7 @@ def near_duplicates(
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
         by = F.xxhash64("u", "v", F.lit(turn)) if turn else F.col("u")
         asked = stored(pairs.groupBy("v").agg(F.min(F.struct(by.alias("by"), "u")).alias("m")).select("m.u", "v"), "asked")
-        found = stored(_confirmed(asked, plain, size, percent), "confirmed")
+        found = stored(_confirmed(asked, sources, size, percent), "confirmed")
         tried = asked if tried is None else tried.unionByName(asked)
         links = found if links is None else links.unionByName(found)
         old, label = label, components(links)
@@ -308,11 +312,11 @@ def near_duplicates(
     share = percent / 100
     least = share - 5 * (share * (1 - share) / (bands * rows)) ** 0.5
     n = partitions(docs)
-    compared = _blocked(labelled, block, 2_000_000).join(classes.select("id", "signature"), "id")
+    compared = _blocked(labelled, block, 2_000_000).join(classes.select("id", "signature").hint("merge"), "id")
     compared = compared.repartition(n, *_DEALT).sortWithinPartitions(*_DEALT)
     likely = compared.mapInArrow(lambda b: _likely(b, least), "bucket long, one int, two int, block int, id long, component_id long")
     likely = stored(likely, "likely")
-    whole = likely.join(plain.where("text IS NOT NULL").withColumnRenamed("doc_id", "id"), "id")
+    whole = likely.join(sources.withColumnRenamed("doc_id", "id").hint("merge"), "id")
     whole = whole.repartition(n, *_DEALT).sortWithinPartitions(*_DEALT)
     more = stored(whole.mapInArrow(lambda b: _forest(b, size, percent), "u long, v long").distinct(), "forest")
 
@@ -328,7 +332,7 @@ def near_duplicates(
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
     out = stored(out, "near-duplicates")
-    dropped(signed, classes, met, tried, links, labelled, likely, more, final, label)
+    dropped(signed, classes, met, sources, tried, links, labelled, likely, more, final, label)
     return out
 
 
@@ -336,11 +340,11 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     """Those of ``pairs`` (u, v) whose documents' shingle sets pass ``percent``.
 
     The text of v travels once to where u's is. Adaptive execution splits the
-    joins where one u has very many pairs.
+    joins where one u has very many pairs. Lists of pairs have no size bound, so
+    they are merged, not broadcast.
     """
-    right = docs.where("text IS NOT NULL")
-    v = pairs.join(right.select(F.col("doc_id").alias("v"), F.col("text").alias("v_text")), "v")
-    both = v.join(right.select(F.col("doc_id").alias("u"), F.col("text").alias("u_text")), "u")
+    v = pairs.join(docs.select(F.col("doc_id").alias("v"), F.col("text").alias("v_text")).hint("merge"), "v")
+    both = v.join(docs.select(F.col("doc_id").alias("u"), F.col("text").alias("u_text")).hint("merge"), "u")
     return both.select("u", "v", "u_text", "v_text").mapInArrow(lambda b: _verified(b, size, percent), "u long, v long").distinct()
 
 
