@@ -112,3 +112,8 @@ def row_keys(docs: DataFrame) -> Column:
 def crc_bucket(doc_id: Column | str) -> Column:
     """crc32 of the id as text, mod 5: 0 marks the held-out rows."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5
+
+
+def held_out(doc_id: str) -> Column:
+    """Whether a row lies in the held-out fold; a null id does not."""
+    return F.coalesce(crc_bucket(doc_id) == 0, F.lit(False)).alias("held_out")

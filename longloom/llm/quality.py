@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import crc_bucket
+from ._shared import held_out
 from ._words import texts
 from .rules import Text
 from .toxicity import sample_labelled
@@ -218,11 +218,11 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, model: M
     """Score every whole text of ``docs``: one narrow pass over all rows.
 
     Empty and null texts have zero figures and are scored as such. Repeated
-    doc_id values get a row each; other columns are not read; an empty table
+    doc_id values get a row each, a null doc_id is not held out; other columns are not read; an empty table
     gives no rows. Without labels every score is a half.
     """
     model = model or learn(docs, labels)
-    plain = docs.select(F.col("doc_id").cast("long"), (crc_bucket("doc_id") == 0).alias("held_out"), F.col("text"))
+    plain = docs.select(F.col("doc_id").cast("long"), held_out("doc_id"), F.col("text"))
     return plain.mapInArrow(lambda b: _scores(b, model, threshold), SCHEMA)
 
 

@@ -1,12 +1,14 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained from labelled texts: one on ordinary
-text, one that holds the same ordinary words and, nearest to the data, the
-words that mark toxic text. A window of a text that compresses shorter with
-the second than with the first speaks the toxic vocabulary; as the two share
-all else, ordinary windows differ by little. The differences of all windows of
-a text give five figures, and a logistic curve over these, fitted on the same
-labelled texts, calibrates the threshold.
+Two zstandard dictionaries are trained with zstandard's cover algorithm on
+labelled texts, one for each class. The ordinary one is trained on the distinct
+words of ordinary texts, the toxic one on those words of toxic texts that these
+hold far oftener. A window of a text is compressed twice, with the ordinary
+dictionary and with both of them; the bytes that the toxic one saves are the
+window's distance. As the two sides share the ordinary part, windows of common
+words differ by little. The distances of all windows of a text give five
+figures, and a logistic curve over these, fitted on labelled texts that the
+dictionaries have not seen, calibrates the threshold.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import crc_bucket
+from ._shared import crc_bucket, held_out
+from ._words import mix, shingles
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -45,57 +48,61 @@ def spaced_words(text: str) -> list[bytes]:
     return [b" " + w for w in _words(text.lower().encode())]
 
 
-def _grams(word: bytes) -> set[bytes]:
-    return {word[i:j] for i in range(max(1, len(word) - 4)) for j in range(i + 5, min(len(word), i + 8) + 1)}
+def distinct(texts: list[str]) -> list[str]:
+    """``texts`` without near copies of earlier ones, so that a copied text is evidence once.
 
+    Near copies are texts that share one of four minima over their three-word shingles.
+    """
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for text in texts:
+        found = shingles(np.frombuffer(text.encode(), np.uint8), 3)
+        if len(found):
+            keys = {(j, int(mix(found + np.uint64(7919 * j)).min())) for j in range(4)}
+            if seen.isdisjoint(keys):
+                out.append(text)
+            seen |= keys
+    return out
 
-def _filled(words: list[bytes], size: int) -> bytes:
-    """The first words that fit, the first one last: near matches are the cheap ones."""
-    out, n = [], 0
-    for w in words:
-        if n + len(w) > size:
-            break
-        out.append(w)
-        n += len(w)
-    return b"".join(reversed(out))
+
+def trained(samples: list[bytes], size: int, d: int, k: int) -> bytes:
+    """A dictionary of at most ``size`` bytes by zstandard's cover algorithm (d-mers in segments of k bytes).
+
+    The trainer wants several samples; what it refuses is a dictionary as it stands.
+    """
+    import zstandard
+
+    samples = [s for s in samples if len(s) >= 8]
+    try:
+        return zstandard.train_dictionary(size, samples, d=d, k=k).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
 
 
 def dictionaries(toxic: list[str], ordinary: list[str], toxic_bytes: int, ordinary_bytes: int, evidence: float) -> tuple[bytes, bytes]:
-    """Dictionary contents (ordinary, toxic) from labelled texts.
+    """Trained dictionaries (ordinary, toxic) from labelled texts.
 
-    Pieces of words of 5 to 8 bytes that toxic texts hold over ten times as
-    often, with a likelihood ratio of at least ``evidence``, mark the words of
-    the toxic part; the ordinary part has the words of ordinary texts by the
-    bytes they cover.
+    A sample is the distinct words of one text. Those for the toxic dictionary
+    are kept if toxic texts hold them over five times as often, with a
+    likelihood ratio of at least ``evidence``.
     """
-    word_t, word_o = Counter(), Counter()
-    for text in toxic:
-        word_t.update(set(spaced_words(text)))
-    for text in ordinary:
-        word_o.update(set(spaced_words(text)))
-    # a piece counts once for each document and word that hold it
+    of_toxic, of_ordinary = ([set(spaced_words(t)) for t in distinct(texts)] for texts in (toxic, ordinary))
     seen_t, seen_o = Counter(), Counter()
-    for word, n in word_t.items():
-        if n > 1:
-            for gram in _grams(word):
-                seen_t[gram] += n
-    seen_t = {g: n for g, n in seen_t.items() if n >= 4}
-    for word, n in word_o.items():
-        for gram in _grams(word):
-            if gram in seen_t:
-                seen_o[gram] += n
-    n_t, n_o = len(toxic), len(ordinary)
-
-    def ratio(gram: bytes) -> float:
+    for words in of_toxic:
+        seen_t.update(words)
+    for words in of_ordinary:
+        seen_o.update(words)
+    n_t, n_o = len(of_toxic), len(of_ordinary)
+
+    def ratio(word: bytes) -> float:
         """Twice the log likelihood ratio of two Poisson rates against one."""
-        x, y = seen_t[gram], seen_o[gram]
+        x, y = seen_t[word], seen_o[word]
         expected = (x + y) / (n_t + n_o)
         return 2 * (x * math.log(x / (expected * n_t)) + (y * math.log(y / (expected * n_o)) if y else 0))
 
-    marks = {g for g, x in seen_t.items() if x * n_o > 10 * (seen_o[g] + 1) * n_t and ratio(g) >= evidence}
-    marked = {w for w in word_t if word_o[w] * n_t * 5 < word_t[w] * n_o and not marks.isdisjoint(_grams(w))}
-    plain = sorted((w for w in word_o if w not in marked), key=lambda w: (-word_o[w] * len(w), w))
-    return _filled(plain, ordinary_bytes), _filled(sorted(marked, key=lambda w: (-word_t[w], w)), toxic_bytes)
+    marks = {w for w, x in seen_t.items() if x > 1 and x * n_o > 5 * seen_o[w] * n_t and ratio(w) >= evidence}
+    plain = trained([b"".join(sorted(words)) for words in of_ordinary], ordinary_bytes, 6, 16)
+    return plain, trained([b"".join(sorted(words & marks)) for words in of_toxic], toxic_bytes, 8, 12)
 
 
 class Distance:
@@ -142,7 +149,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
 
 
 def fit(
-    toxic: list[str], ordinary: list[str], toxic_bytes: int = 8_000, ordinary_bytes: int = 60_000, evidence: float = 25.0
+    toxic: list[str], ordinary: list[str], toxic_bytes: int = 2_000, ordinary_bytes: int = 60_000, evidence: float = 16.0
 ) -> Model:
     """Dictionaries from one half of the texts, the curve from the other.
 
@@ -199,9 +206,9 @@ def toxicity(
     The model is fitted on at most ``toxic_rows + ordinary_rows`` texts of at
     most ``max_chars`` characters; scoring is one narrow pass over all rows.
     Empty and null texts get the score of no evidence. Repeated doc_id values
-    get a row each; rows without a label, and labels without a row, do no harm.
+    get a row each, and a null doc_id is not held out; rows without a label, and labels without a row, do no harm.
     """
     found = sample_labelled(docs, labels, "toxic", {1: toxic_rows, 0: ordinary_rows}, max_chars)
     model = fit(found[1], found[0])
-    plain = docs.select(F.col("doc_id").cast("long"), (crc_bucket("doc_id") == 0).alias("held_out"), F.col("text"))
+    plain = docs.select(F.col("doc_id").cast("long"), held_out("doc_id"), F.col("text"))
     return plain.mapInArrow(lambda b: _scores(b, model, threshold), SCHEMA)

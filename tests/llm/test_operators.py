@@ -253,6 +253,7 @@ def test_classifiers(spark, docs, odd, empty):
         rows = run(docs, labels).collect()
         assert len(rows) == len(odd) and all(0 <= r.score <= 1 for r in rows)
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows if r.doc_id is not None)
+        assert all(r.held_out is False for r in rows if r.doc_id is None)
         assert run(empty, labels).count() == 0
         assert run(docs, labels.limit(0)).count() == len(odd)
     assert quality.keep_good(docs, labels).columns == docs.columns
@@ -270,6 +271,20 @@ def test_held_out_quality_and_toxicity(spark):
     assert a == b
 
 
+def test_held_out_toxicity_of_trained_dictionaries(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    some = docs.join(labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 == 0).select("doc_id"), "doc_id", "left_semi")
+    found = toxicity.sample_labelled(docs, labels, "toxic", {1: 1200, 0: 4000}, 20_000)
+    model = toxicity.fit(found[1], found[0])
+    assert all(len(d) > 500 for d in (model.ordinary, model.toxic)) and model.ordinary[:4] == model.toxic[:4] == b"\x37\xa4\x30\xec"
+    distance, w = toxicity.Distance(model), np.array(model.weights)
+    score = {r.doc_id: distance.figures(r.text or "") @ w[1:] + w[0] for r in some.collect()}
+    by = {y: [score[r.doc_id] for r in labels.collect() if r.toxic == y and r.doc_id in score] for y in (0, 1)}
+    assert np.mean([[t > o for o in by[0]] for t in by[1]]) > 0.9
+    assert np.mean(np.array(by[0]) > 0) < 0.02
+
+
 def test_unlabelled_sample_does_not_depend_on_the_split(spark, monkeypatch):
     docs = spark.createDataFrame([(i, sentence(i, 12)) for i in range(600)], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
