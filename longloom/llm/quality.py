@@ -7,27 +7,30 @@ that on unlabelled texts less the prior times that on positives; Kiryo et al.
 (2017) keep this difference from going below zero, and that risk is minimised
 here. The prior comes from the best bin of Garg et al. (2021): no score
 threshold can pass fewer unlabelled texts than the prior times the positives
-it passes.
+it passes. Labelled bad texts are never read.
 
 The model is additive: each figure of a text falls into one of a few quantile
-bins, and each bin has a weight.
+bins, and each bin has a weight. Figures are taken once from every whole text
+and stored; the bin edges, the counts behind the prior and the score that gets
+a half (that which the prior's share of all texts exceeds) are statistics of
+all texts. Only the weights are fitted on bounded samples.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import held_out
+from ._shared import crc_bucket, dropped, held_out, stored
 from ._words import texts
 from .rules import Text
-from .toxicity import sample_labelled
 
+_EMPTY = np.zeros(0, np.uint8)
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 FIGURES = (
@@ -39,7 +42,7 @@ _punctuation = np.array([b for b in range(33, 127) if not chr(b).isalnum() and c
 
 
 def figures(data: np.ndarray) -> list[float]:
-    """The figures of one text, each a share or a logarithm; zeros for an empty text."""
+    """The figures of one text in single precision, each a share or a logarithm; zeros for an empty text."""
     t = Text(data)
     n, seen = t.n_words, t.bytes_seen
     if not n:
@@ -47,7 +50,7 @@ def figures(data: np.ndarray) -> list[float]:
     words = t.words
     lines, again = t.lines
     letters = max(int(seen[65:91].sum() + seen[97:123].sum()), 1)
-    return [
+    out = [
         np.log1p(n),
         t.n_symbols / n,
         seen[65:91].sum() / letters,
@@ -64,6 +67,7 @@ def figures(data: np.ndarray) -> list[float]:
         (seen[:9].sum() + seen[14:32].sum()) / n,
         seen[_punctuation].sum() / n,
     ]
+    return np.array(out, np.float32).tolist()
 
 
 @dataclass(frozen=True)
@@ -73,7 +77,6 @@ class Model:
     prior: float
     slope: float = 1.0
     shift: float = 0.0
-    width: int = field(default=0)
 
     def bins(self, x: np.ndarray) -> np.ndarray:
         """For each row the position of its bin of each figure in ``weights``."""
@@ -90,28 +93,31 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.raw(x) + self.shift, -30, 30)))
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: int = 50) -> float:
-    """Best-bin estimate of the share of positives among the unlabelled, from scores.
+def class_prior(share_p: np.ndarray, share_u: np.ndarray, n_p: int, n_u: int, least: int = 50) -> float:
+    """Best-bin estimate of the share of positives among the unlabelled.
 
-    The smallest ratio of the shares of unlabelled and positives above a
-    threshold, with a confidence margin for the counts; thresholds that pass
-    fewer than ``least`` positives are not looked at.
+    ``share_p`` and ``share_u`` are the shares of ``n_p`` positives and ``n_u``
+    unlabelled texts at or above each of some thresholds. The bin is the one with the
+    smallest ratio of the two, with a confidence margin for the counts;
+    thresholds that pass fewer than ``least`` positives are not looked at.
     """
-    p, u = np.sort(positive), np.sort(unlabelled)
-    cuts = np.unique(p)
-    share_p = 1 - np.searchsorted(p, cuts) / len(p)
-    share_u = 1 - np.searchsorted(u, cuts) / len(u)
-    margin = np.sqrt(np.log(40) / 2 / len(u)) + np.sqrt(np.log(40) / 2 / len(p))
-    usable = share_p * len(p) >= min(least, len(p))
+    margin = np.sqrt(np.log(40) / 2 / n_u) + np.sqrt(np.log(40) / 2 / n_p)
+    usable = share_p * n_p >= min(least, n_p)
     bound = (share_u + margin) / np.maximum(share_p, 1e-9)
     best = np.flatnonzero(usable)[np.argmin(bound[usable])]
     return float(np.clip(share_u[best] / share_p[best], 0.05, 0.98))
 
 
-def _edges(x: np.ndarray, bins: int) -> list[np.ndarray]:
-    shares = np.linspace(0, 1, bins + 1)[1:-1]
-    tails = np.array([0.01, 0.03, 0.97, 0.99])
-    return [np.unique(np.quantile(c, np.sort(np.concatenate([shares, tails])))) for c in x.T]
+SHARES = np.sort(np.concatenate([np.linspace(0, 1, 9)[1:-1], [0.01, 0.03, 0.97, 0.99]]))
+
+
+def _edges(x: np.ndarray) -> list[np.ndarray]:
+    return [np.unique(np.quantile(c, SHARES)) for c in x.T]
+
+
+def _counts(scores: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """How many ``scores`` lie below the first of the sorted ``cuts``, from each to the next, and from the last on."""
+    return np.bincount(np.searchsorted(cuts, scores, side="right"), minlength=len(cuts) + 1)
 
 
 def minimise(
@@ -142,67 +148,135 @@ def minimise(
     return model
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, negative: np.ndarray, bins: int = 8) -> Model:
-    """Prior, weights and calibration from figures of positives, unlabelled and labelled bad texts.
+def _flat(edges: list[np.ndarray]) -> Model:
+    """The model that knows nothing: a half for every text."""
+    return Model(edges, np.zeros(sum(len(e) + 1 for e in edges) + 1), 0.5)
+
 
-    The prior is estimated on one half of the positives with the scores of a
-    first model fitted on the other half. Labelled bad texts only set where
-    the scores lie between 0 and 1, by a logistic curve in the prior's mixture.
+def fit(positive: np.ndarray, unlabelled: np.ndarray, aside: np.ndarray, edges: list[np.ndarray] | None = None, cells=None, quantile=None) -> Model:
+    """Prior, weights and threshold from figures.
+
+    A first model is fitted on ``positive``; the prior is estimated with its
+    scores on the positives ``aside`` (on half of ``positive``, if there are
+    none). ``edges`` are the bin edges, ``cells(model, cuts)`` counts all
+    unlabelled texts in the cells between ``cuts``, and ``quantile(model,
+    share)`` is a quantile of all their scores; by default each is taken from
+    ``unlabelled``.
     """
     base = unlabelled if len(unlabelled) else positive
-    edges = _edges(base, bins) if len(base) else [np.zeros(0)] * base.shape[1]
+    if edges is None:
+        edges = _edges(base) if len(base) else [np.zeros(0)] * base.shape[1]
     if not len(positive) or not len(unlabelled):
-        return Model(edges, np.zeros(sum(len(e) + 1 for e in edges) + 1), 0.5)
-    first = minimise(positive[::2], unlabelled[::2], edges, 0.5, steps=200)
-    prior = class_prior(first.raw(positive[1::2] if len(positive) > 1 else positive), first.raw(unlabelled[1::2] if len(unlabelled) > 1 else unlabelled))
-    model = minimise(positive, unlabelled, edges, prior)
-    if len(negative) < 5:
-        return model
-    z = np.concatenate([model.raw(positive), model.raw(negative)])
-    y = np.concatenate([np.ones(len(positive)), np.zeros(len(negative))])
-    weight = np.where(y == 1, prior / len(positive), (1 - prior) / len(negative))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        g, h = weight * (p - y), weight * p * (1 - p) + 1e-9
-        grad = np.array([(g * z).sum() + 1e-4 * (a - 1), g.sum()])
-        hess = np.array([[(h * z * z).sum() + 1e-4, (h * z).sum()], [(h * z).sum(), h.sum()]])
-        a, b = np.array([a, b]) - np.clip(np.linalg.solve(hess, grad), -2, 2)
-    return Model(model.edges, model.weights, prior, float(max(a, 1e-3)), float(b))
-
-
-def _figures_of(sample: list[str]) -> np.ndarray:
-    return np.array([figures(np.frombuffer(t.encode(), np.uint8)) for t in sample]).reshape(-1, len(FIGURES))
-
-
-def learn(
-    docs: DataFrame, labels: DataFrame, good_rows: int = 3000, bad_rows: int = 1500, unlabelled_rows: int = 4000, max_chars: int = 50_000
-) -> Model:
-    """Fit on bounded samples of labelled rows and of ``docs`` without labels.
+        return _flat(edges)
+    both = np.concatenate([positive, aside])
+    if not len(aside):
+        positive, aside = positive[::2], positive[1::2] if len(positive) > 1 else positive
+    first = minimise(positive, unlabelled, edges, 0.5, steps=200)
+    cuts = np.unique(first.raw(aside))
+    n_p = _counts(first.raw(aside), cuts)
+    n_u = cells(first, cuts) if cells else _counts(first.raw(unlabelled), cuts)
+    share_p, share_u = (1 - np.cumsum(n)[:-1] / n.sum() for n in (n_p, n_u))
+    model = minimise(both, unlabelled, edges, class_prior(share_p, share_u, int(n_p.sum()), int(n_u.sum())))
+    share = 1 - model.prior
+    half = quantile(model, share) if quantile else float(np.quantile(model.raw(unlabelled), share))
+    return replace(model, shift=-half)
+
+
+def _figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [figures(_EMPTY if d is None else d) for d in texts(batch.column(3))]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(rows, pa.list_(pa.float32()))], ["doc_id", "held_out", "mark", "figures"])
 
-    Labels of the held-out fold (crc32 of the id, mod 5, is 0) are not read.
-    The unlabelled sample is spread over the table by a hash of id and text,
-    and taken in the order of that hash, however the table is split.
-    """
-    found = sample_labelled(docs, labels, "quality", {1: good_rows, 0: bad_rows}, max_chars)
-    whole = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    share = min(1.0, 1.2 * unlabelled_rows / max(docs.count(), 1))
-    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    some = whole.where(mark < int(share * (1 << 30))).select(mark.alias("h"), "doc_id", "text")
-    some = some.orderBy("h", "doc_id", "text").limit(unlabelled_rows).select("text")
-    unlabelled = [r[0] for r in some.toLocalIterator()]
-    return fit(_figures_of(found[1]), _figures_of(unlabelled), _figures_of(found[0]))
+
+def measured(docs: DataFrame) -> DataFrame:
+    """(doc_id, held_out, mark, figures) for every row of ``docs``, stored; ``mark`` is a hash of id and text."""
+    plain = docs.select(F.col("doc_id").cast("long"), held_out("doc_id"), F.xxhash64("doc_id", "text").alias("mark"), "text")
+    return stored(plain.mapInArrow(_figures, "doc_id long, held_out boolean, mark long, figures array<float>"), "figures")
 
 
-def _score(batch: pa.RecordBatch, at: int, model: Model) -> np.ndarray:
-    empty = np.zeros(0, np.uint8)
-    rows = [figures(empty if d is None else d) for d in texts(batch.column(at))]
-    return model.score(np.array(rows).reshape(-1, len(FIGURES)))
+def _figures_of(sample: list[list[float]]) -> np.ndarray:
+    return np.array(sample, np.float64).reshape(-1, len(FIGURES))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(FIGURES))
+
+
+#: Figures are tallied by the upper 18 bits of their single-precision form (steps of 0.2 %), scores in steps of 0.001.
+_DROPPED_BITS = 14
+_STEP = 0.001
+
+
+def _figure_cells(column: pa.Array) -> np.ndarray:
+    """One number for each figure of each text: its place in FIGURES and its cell; figures are not negative."""
+    bits = column.flatten().to_numpy(zero_copy_only=False).view(np.int32).reshape(-1, len(FIGURES)) >> _DROPPED_BITS
+    return (bits.astype(np.int64) + (np.arange(len(FIGURES)) << 32)).ravel()
+
+
+def _tallied(batches: Iterator[pa.RecordBatch], cells: Callable[[pa.Array], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cell, n = np.unique(cells(batch.column(0)), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), pa.array(n.astype(np.int64))], ["cell", "n"])
+
+
+def _tally(found: DataFrame, cells: Callable[[pa.Array], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(cells in order, rows in each) over all of ``found``: whole numbers, so the same however the table is split."""
+    counted = found.select("figures").mapInArrow(lambda b: _tallied(b, cells), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    pairs = sorted((r[0], r[1]) for r in counted.collect())  # a row for each cell, whose number does not grow with the table
+    out = np.array(pairs, np.int64).reshape(-1, 2)
+    return out[:, 0], out[:, 1]
+
+
+def _quantiles(cells: np.ndarray, n: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """The cells in which the ``shares`` of the rows are reached."""
+    total = np.cumsum(n)
+    return cells[np.searchsorted(total, shares * total[-1])]
+
+
+def _learned(found: DataFrame, labels: DataFrame, good_rows: int, unlabelled_rows: int) -> Model:
+    in_order = ("mark", "doc_id", "figures")
+    sample = lambda df, n: [r[0] for r in df.orderBy(*in_order).limit(n).select("figures").toLocalIterator()]
+    good = labels.where((crc_bucket("doc_id") != 0) & (F.col("quality") == 1)).select("doc_id").distinct()
+    # at most good_rows ids, so the broadcast has a fixed bound
+    good = F.broadcast(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(good_rows))
+    positive = sample(found.join(good, "doc_id", "left_semi"), good_rows)
+    parts = [_figures_of(rows) for rows in (positive[::2], sample(found, unlabelled_rows), positive[1::2])]
+    cell, n = _tally(found, _figure_cells)
+    edges = []
+    for j in range(len(FIGURES)):
+        own = cell >> 32 == j
+        low = _quantiles(cell[own] & 0xFFFFFFFF, n[own], SHARES) if own.any() else np.zeros(0, np.int64)
+        edges.append(np.unique((low << _DROPPED_BITS).astype(np.int32).view(np.float32).astype(np.float64)))
+
+    def cells(model: Model, cuts: np.ndarray) -> np.ndarray:
+        cell, n = _tally(found, lambda c: np.searchsorted(cuts, model.raw(_matrix(c)), side="right"))
+        return np.bincount(cell, n, len(cuts) + 1)
+
+    def quantile(model: Model, share: float) -> float:
+        cell, n = _tally(found, lambda c: np.floor(model.raw(_matrix(c)) / _STEP).astype(np.int64))
+        return float(_quantiles(cell, n, np.array([share]))[0]) * _STEP
+
+    return fit(*parts, edges, cells, quantile)
+
+
+def learn(docs: DataFrame, labels: DataFrame, good_rows: int = 3000, unlabelled_rows: int = 4000) -> Model:
+    """Fit on the figures of all ``docs`` and of at most ``good_rows`` labelled good rows.
+
+    Labels of the held-out fold (crc32 of the id, mod 5, is 0) are not read.
+    Bin edges, prior and threshold are statistics of all rows, texts of any
+    length included. The weights' risk on unlabelled texts is that of
+    ``unlabelled_rows`` rows, taken in the order of a hash of id and text,
+    however the table is split. An empty table or no labels give the flat model.
+    """
+    found = measured(docs)
+    model = _learned(found, labels, good_rows, unlabelled_rows)
+    dropped(found)
+    return model
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model: Model, threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        score = _score(batch, 2, model)
+        score = model.score(_matrix(batch.column(2)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))],
             [f.split()[0] for f in SCHEMA.split(", ")],
@@ -211,22 +285,28 @@ def _scores(batches: Iterator[pa.RecordBatch], model: Model, threshold: float) -
 
 def _kept(batches: Iterator[pa.RecordBatch], model: Model, threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield batch.filter(pa.array(_score(batch, batch.schema.get_field_index("text"), model) >= threshold))
+        rows = [figures(_EMPTY if d is None else d) for d in texts(batch.column(batch.schema.get_field_index("text")))]
+        yield batch.filter(pa.array(model.score(_figures_of(rows)) >= threshold))
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, model: Model | None = None) -> DataFrame:
-    """Score every whole text of ``docs``: one narrow pass over all rows.
+    """Score every whole text of ``docs``: one narrow pass over the texts, then passes over their figures.
 
     Empty and null texts have zero figures and are scored as such. Repeated
-    doc_id values get a row each, a null doc_id is not held out; other columns are not read; an empty table
-    gives no rows. Without labels every score is a half.
+    doc_id values get a row each, a null doc_id is not held out; other columns
+    are not read; an empty table gives no rows. Without labels every score is a
+    half.
     """
-    model = model or learn(docs, labels)
-    plain = docs.select(F.col("doc_id").cast("long"), held_out("doc_id"), F.col("text"))
-    return plain.mapInArrow(lambda b: _scores(b, model, threshold), SCHEMA)
+    found = measured(docs)
+    model = model or _learned(found, labels, 3000, 4000)
+    return found.select("doc_id", "held_out", "figures").mapInArrow(lambda b: _scores(b, model, threshold), SCHEMA)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs`` scored at ``threshold`` or above, with all their columns."""
+    """The rows of ``docs`` scored at ``threshold`` or above, with all their columns.
+
+    Null and empty texts are scored by their zero figures; repeated rows share
+    a fate; an empty table stays empty.
+    """
     model = model or learn(docs, labels)
     return docs.mapInArrow(lambda b: _kept(b, model, threshold), docs.schema)

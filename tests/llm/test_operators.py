@@ -271,6 +271,18 @@ def test_held_out_quality_and_toxicity(spark):
     assert a == b
 
 
+def test_held_out_quality_decisions(spark):
+    """The decision at 0.3 hangs on no labelled bad text: their labels may be absent or wrong. Same for 1 and 32 partitions."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r for r in quality.quality(docs.repartition(32), labels.where("quality = 1")).collect()}
+    held = [(got[r.doc_id], r.quality) for r in labels.where("quality IS NOT NULL").collect() if r.doc_id in got and got[r.doc_id].held_out]
+    assert np.mean([r.predicted == y for r, y in held]) > 0.97
+    assert np.mean([r.predicted for r, y in held if y == 1]) > 0.99
+    whole = {r.doc_id: r.score for r in quality.quality(docs.coalesce(1), labels).collect()}
+    assert max(abs(whole[i] - r.score) for i, r in got.items()) < 0.02
+
+
 def test_held_out_toxicity_of_trained_dictionaries(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
