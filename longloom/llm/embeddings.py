@@ -20,12 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._groups import root, sorted_groups
-from ._shared import components, partitions, stored
+from ._shared import components, dropped, partitions, stored
 
+_BUCKET = ["t", "code"]
 _LINKS = "id long, other long, n_links long"
 
 
@@ -41,22 +43,26 @@ def _unit(flat: np.ndarray, width: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _coded(batches: Iterator[pa.RecordBatch], width: int, tables: int, bits: int, seed: int) -> Iterator[pa.RecordBatch]:
-    planes = np.random.default_rng(seed).standard_normal((width, tables * bits))
+def _coded(batches: Iterator[pa.RecordBatch], tables: int, bits: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """Rows with their codes, one for each table; hyperplanes are those of a vector's length."""
     powers = np.int64(1) << np.arange(bits, dtype=np.int64)
     for batch in batches:
         if not batch.num_rows:
             continue
-        x = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-        signs = (_unit(x, width) @ planes > 0).reshape(batch.num_rows, tables, bits)
-        codes = (signs * powers).sum(2)
+        width = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+        codes = np.empty((batch.num_rows, tables), np.int64)
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            planes = np.random.default_rng([seed, w]).standard_normal((w, tables * bits))
+            x = batch.column(2).take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+            codes[at] = ((_unit(x, w) @ planes > 0).reshape(len(at), tables, bits) * powers).sum(2)
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.FixedSizeListArray.from_arrays(pa.array(codes.ravel()), tables).cast(pa.list_(pa.int64()))],
             ["id", "size", "embedding", "codes"],
         )
 
 
-def _compared(batches: Iterator[pa.RecordBatch], width: int, tables: int, threshold: float) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], tables: int, threshold: float) -> Iterator[pa.RecordBatch]:
     """Links of each row with the rows of its bucket block pair, and forest edges.
 
     Rows out: (id, other, 0) for an edge, (id, null, n) for links counted.
@@ -68,10 +74,10 @@ def _compared(batches: Iterator[pa.RecordBatch], width: int, tables: int, thresh
         ids.clear(), others.clear(), counts.clear()
         return pa.RecordBatch.from_arrays(columns, ["id", "other", "n_links"])
 
-    for group in sorted_groups(batches, ["t", "code", "one", "two"]):
+    for group in sorted_groups(batches, ["width", *_BUCKET, "one", "two"]):
         if group.num_rows < 2:
             continue
-        t, one, two = (group.column(c)[0].as_py() for c in ("t", "one", "two"))
+        width, t, one, two = (group.column(c)[0].as_py() for c in ("width", "t", "one", "two"))
         block = group.column("block").to_numpy()
         x = _unit(group.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False), width)
         codes = group.column("codes").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, tables)
@@ -116,63 +122,68 @@ def near_duplicates(
     ``component_id`` is the smallest id reachable. A vector that is null, zero,
     empty, or holds a null or a component that is not finite links with
     nothing. Vectors of different lengths are compared within their length.
-    Repeated ids are rows of their own and share a component. Labels and other
-    columns are not read. An empty table gives no rows.
+    Repeated ids are rows of their own and share a component. A row whose id is
+    null links with nothing and is kept, with a null component. Labels and
+    other columns are not read. An empty table gives no rows. The result is
+    written to the shared folder, and what led to it is deleted there.
+
+    A pair at ``threshold`` goes unseen with a probability of ``miss`` at most;
+    a bucket of n vectors is compared in (n / block)**2 / 2 tasks, so copies of
+    each vector grow with its bucket.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    kind = "float" if single else "double"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     bad = (
-        F.col("embedding").isNull()
+        F.col("id").isNull()
+        | F.col("embedding").isNull()
         | F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
         | ~F.exists("embedding", lambda v: v != 0)
     )
     sound = F.coalesce(~bad, F.lit(False))
     # -0.0 and 0.0 are one value; the key makes no class of two vectors that differ
-    key = F.transform("embedding", lambda v: v + F.lit(0.0).cast("float"))
+    key = F.transform("embedding", lambda v: v + F.lit(0.0).cast(kind))
     rows = stored(rows.select("id", F.when(sound, key).alias("embedding")), "vectors")
     good = rows.where("embedding IS NOT NULL")
     classes = stored(good.groupBy("embedding").agg(F.min("id").alias("id"), F.count("*").alias("size")), "classes")
-    edges, counts = None, None
-    widths = sorted((r[0], r[1]) for r in classes.groupBy(F.size("embedding")).count().collect())
-    for width, n in widths:
-        tables, bits = tables_for(n, threshold, miss)
-        of_width = classes.where(F.size("embedding") == width).select("id", "size", "embedding")
-        coded = of_width.mapInArrow(
-            lambda b, w=width, t=tables, k=bits: _coded(b, w, t, k, seed), "id long, size long, embedding array<float>, codes array<long>"
-        )
-        coded = stored(coded, "codes")
-        spread = coded.select("id", F.posexplode("codes").alias("t", "code"))
-        buckets = spread.groupBy("t", "code").agg(F.count("*").alias("n")).where("n > 1")
-        met = spread.join(buckets, ["t", "code"])
-        # blocks of a bucket by a hash of the id; a row goes to every pair of blocks with its own
-        met = met.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn(
-            "block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id"), F.col("blocks"))).otherwise(0).cast("int")
-        )
-        met = met.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        met = met.select("id", "t", "code", "block", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two"))
-        met = met.join(coded, "id").select("t", "code", "one", "two", "block", "id", "size", "embedding", "codes")
-        dealt = met.repartition(partitions(vectors), "t", "code", "one", "two").sortWithinPartitions("t", "code", "one", "two")
-        found = dealt.mapInArrow(lambda b, w=width, t=tables: _compared(b, w, t, threshold), _LINKS)
-        found = stored(found.groupBy("id", "other").agg(F.sum("n_links").alias("n_links")), "found")
-        edges = found if edges is None else edges.unionByName(found)
-    if edges is None:
-        per_class = classes.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    else:
-        counts = edges.where("other IS NULL").select("id", "n_links")
-        linked = components(edges.where("other IS NOT NULL").select(F.col("id").alias("u"), F.col("other").alias("v")))
-        per_class = (
-            classes.select("id")
-            .join(counts.groupBy("id").agg(F.sum("n_links").alias("n_links")), "id", "left")
-            .join(linked, "id", "left")
-            .select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
-        )
+    tables, bits = tables_for(classes.count(), threshold, miss)
+    coded = classes.select("id", "size", "embedding").mapInArrow(
+        lambda b: _coded(b, tables, bits, seed), f"id long, size long, embedding array<{kind}>, codes array<long>"
+    )
+    coded = stored(coded, "codes")
+    keys = ["width", *_BUCKET]
+    spread = coded.select("id", F.size("embedding").alias("width"), F.posexplode("codes").alias(*_BUCKET))
+    buckets = spread.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    met = spread.join(buckets, keys)
+    # blocks of a bucket by a hash of the id; a row goes to every pair of blocks with its own
+    met = met.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn(
+        "block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id"), F.col("blocks"))).otherwise(0).cast("int")
+    )
+    met = met.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("id", *keys, "block", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two"))
+    met = met.join(coded, "id").select(*keys, "one", "two", "block", "id", "size", "embedding", "codes")
+    dealt = met.repartition(partitions(vectors), *keys, "one", "two").sortWithinPartitions(*keys, "one", "two")
+    edges = dealt.mapInArrow(lambda b: _compared(b, tables, threshold), _LINKS)
+    edges = stored(edges.groupBy("id", "other").agg(F.sum("n_links").alias("n_links")), "found")
+    counts = edges.where("other IS NULL").groupBy("id").agg(F.sum("n_links").alias("n_links"))
+    linked = components(edges.where("other IS NOT NULL").select(F.col("id").alias("u"), F.col("other").alias("v")))
+    per_class = (
+        classes.select("id")
+        .join(counts, "id", "left")
+        .join(linked, "id", "left")
+        .select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    )
     members = classes.join(per_class, "id").select(
         "embedding", (F.col("n_links") + F.col("size") - 1).alias("n_links"), "component_id"
     )
     joined = rows.join(members, "embedding", "left")
     component = F.coalesce("component_id", "id")
-    return joined.select(
+    out = joined.select(
         F.col("id").alias("vec_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
-        (F.col("id") == component).alias("kept"),
+        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+    out = stored(out, "near-duplicates")
+    dropped(rows, classes, coded, edges, linked)
+    return out

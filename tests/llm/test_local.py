@@ -259,3 +259,12 @@ def test_signatures_of_unrelated_long_texts_seldom_agree():
     rng = np.random.default_rng(9)
     a, b = (m.signature(rng.integers(0, 1 << 63, 1_000_000).astype(np.uint64)) for _ in range(2))
     assert (a == b).mean() < 0.25
+
+
+def test_the_cascade_counts_what_is_left():
+    """A rule that rejects only what a cheaper one has rejected comes last, however much that is."""
+    slow = lambda t: sum(range(3000)) > 0 and t.n_words < 3
+    few = lambda t: sum(range(9000)) > 0 and b"z" in t.data.tobytes()
+    mine = (rules.Rule("all", lambda t: t.n_words < 4), rules.Rule("inside", slow), rules.Rule("few", few))
+    sample = [b"a b"] * 80 + [b"a b c d z"] * 5 + [b"a b c d e"] * 15
+    assert [r.name for r in rules.chained(mine, sample)] == ["all", "few", "inside"]

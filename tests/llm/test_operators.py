@@ -201,6 +201,45 @@ def test_vectors(spark):
     assert embeddings.near_duplicates(df.where("vec_id = 900")).count() == 1
 
 
+def test_vectors_of_many_lengths_and_null_ids(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for n in range(2, 30):
+        x = rng.standard_normal(n)
+        rows += [(n, x.tolist()), (100 + n, (x * 3).tolist()), (200 + n, (-x).tolist())]
+    rows += [(None, rows[0][1]), (None, None)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert len(got) == len(rows) and sum(r.vec_id is None and r.kept and not r.n_links and r.component_id is None for r in got) == 2
+    by = {r.vec_id: r for r in got if r.vec_id is not None}
+    assert all((by[n].component_id, by[100 + n].component_id, by[200 + n].component_id) == (n, n, 200 + n) for n in range(2, 30))
+
+
+def test_vectors_in_double_precision(spark):
+    """Two vectors that single precision cannot tell apart lie on either side of the threshold."""
+    a, b = np.arccos(0.95) - 1e-9, np.arccos(0.95) + 1e-9
+    rows = [(1, [1.0, 0.0]), (2, [float(np.cos(a)), float(np.sin(a))]), (3, [float(np.cos(b)), float(-np.sin(b))])]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), miss=1e-9).collect()
+    assert {r.vec_id: r.n_links for r in got} == {1: 1, 2: 1, 3: 0}
+
+
+def test_vector_recall_at_default_settings(spark):
+    """The vectors of a driver table, each with a fellow at a cosine barely above the threshold; against brute force."""
+    found = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    x = np.stack([np.array(r.embedding, float) for r in found.collect()])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rng = np.random.default_rng(2)
+    aside = rng.standard_normal(x.shape)
+    aside -= (aside * x).sum(1)[:, None] * x
+    cos = rng.uniform(0.9501, 0.96, len(x))[:, None]
+    x = np.vstack([x, cos * x + np.sqrt(1 - cos**2) * aside / np.linalg.norm(aside, axis=1)[:, None]]).astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    want = (unit @ unit.T >= 0.95).sum(1) - 1
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(frame).collect()}
+    assert want.sum() >= len(x) and all(got[i] <= n for i, n in enumerate(want))
+    assert sum(got.values()) >= 0.99 * want.sum()
+
+
 def test_tokens(docs, odd, empty):
     path = public.path("byte_bpe_multi_50k.tiktoken")
     theirs = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
