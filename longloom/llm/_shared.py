@@ -109,6 +109,14 @@ def row_keys(docs: DataFrame) -> Column:
     return F.xxhash64("doc_id", "text") if odd else F.col("doc_id").cast("long")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_bucket(doc_id: Column | str) -> Column:
     """crc32 of the id as text, mod 5: 0 marks the held-out rows."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._groups import root, sorted_groups
-from ._shared import components, dropped, partitions, stored
+from ._shared import components, dropped, partitions, stored, unused
 from ._words import mix, shingles, texts
 
 D = 1 << 20
@@ -353,23 +353,25 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Where a doc_id is null or repeated, rows are told apart by a hash of id and
     text, and of rows equal in both one stays. Rows without a shingle are
-    copies only of rows with their doc_id.
+    copies only of rows with their doc_id. An empty table stays empty; columns
+    of any name are allowed beside doc_id and text.
     """
     if not docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
         found = near_duplicates(docs, **options).where("NOT kept").select("doc_id").distinct()
         return docs.join(found, "doc_id", "left_anti")
-    keyed = docs.withColumn("_longloom_key", F.xxhash64("doc_id", "text"))
-    found = near_duplicates(keyed.select(F.col("_longloom_key").alias("doc_id"), "text"), **options)
-    found = stored(found.select(F.col("doc_id").alias("_longloom_key"), "component_id", "n_shingles").distinct(), "components")
-    ids = keyed.select("_longloom_key", F.col("doc_id").cast("long").alias("id")).distinct()
-    rows = found.join(ids, "_longloom_key")
+    key, of = unused(docs, "_longloom_key"), unused(docs, "_longloom_of")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), **options)
+    found = stored(found.select(F.col("doc_id").alias(key), "component_id", "n_shingles").distinct(), "components")
+    ids = keyed.select(key, F.col("doc_id").cast("long").alias("id")).distinct()
+    rows = found.join(ids, key)
     bare = (F.col("n_shingles") == 0) & F.col("id").isNotNull()
     group = F.when(bare, F.struct(F.lit(True).alias("bare"), F.col("id").alias("of"))).otherwise(
         F.struct(F.lit(False).alias("bare"), F.col("component_id").alias("of"))
     )
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_longloom_key", "n_shingles")).alias("best")
-    chosen = rows.groupBy(group.alias("group")).agg(best).select("best._longloom_key", "best.none", "best.n_shingles")
-    kept = keyed.join(chosen, "_longloom_key")
-    lone = F.col("none") & (F.col("n_shingles") == 0)  # without id and without words: nothing says that they are copies
-    once = kept.where(~lone).dropDuplicates(["_longloom_key"]).unionByName(kept.where(lone))
+    best = F.min(F.struct(F.col("id").isNull().alias("_none"), "id", F.col(key).alias("_key"), F.col("n_shingles").alias("_n"))).alias("best")
+    chosen = rows.groupBy(group.alias("group")).agg(best).select(F.col("best._key").alias(key), F.struct("best._none", "best._n").alias(of))
+    kept = keyed.join(chosen, key)
+    lone = F.col(of)["_none"] & (F.col(of)["_n"] == 0)  # without id and without words: nothing says that they are copies
+    once = kept.where(~lone).dropDuplicates([key]).unionByName(kept.where(lone))
     return once.select(*docs.columns)

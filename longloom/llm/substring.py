@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import dropped, row_keys, stored
+from ._shared import dropped, row_keys, stored, unused
 from ._words import all_windows, texts, window_hashes, word_hashes
 
 SIZE = 35
@@ -145,14 +145,14 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in SCHEMA.split(", ")])
 
 
-def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], names: list[str], text: str, spans: str) -> Iterator[pa.RecordBatch]:
     """Rows with the covered words, and the white space before each, taken out of their text."""
     span = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
     for batch in batches:
         out = []
-        at, spans = batch.schema.get_field_index("text"), batch.column(batch.schema.get_field_index("_spans"))
-        for i, data in enumerate(texts(batch.column(at))):
-            found = _spans(spans, i)
+        held = batch.column(batch.schema.get_field_index(spans))
+        for i, data in enumerate(texts(batch.column(batch.schema.get_field_index(text)))):
+            found = _spans(held, i)
             if data is None or not found:
                 out.append(None if data is None else data.tobytes().decode())
                 continue
@@ -160,7 +160,7 @@ def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Rec
             words = span.findall(raw)
             gone = _cover(len(words), found)
             out.append(b"".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).lstrip(b" \t\n\v\f\r").decode())
-        columns = [pa.array(out, pa.string()) if n == "text" else batch.column(batch.schema.get_field_index(n)) for n in names]
+        columns = [pa.array(out, pa.string()) if n == text else batch.column(batch.schema.get_field_index(n)) for n in names]
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
@@ -176,7 +176,8 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, k: int = ANCHOR) -> DataFr
     places = stored(places, "anchors")
     mark = F.struct("a", "b")
     seen = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min(mark).alias("least"), F.max(mark).alias("most")).where("n > 1")
-    seen = seen.select("anchor", (F.col("least") != F.col("most")).alias("branches"))
+    # stored, so that both sides of the join are plain exchanges, of which adaptive execution can split a hot anchor
+    seen = stored(seen.select("anchor", (F.col("least") != F.col("most")).alias("branches")), "seen")
     repeated = stored(places.join(seen, "anchor"), "repeated")
     whole = repeated.where("NOT branches").where(F.col("high") - F.col("low") >= size).select("doc_id", "low", "high")
     # branching anchors: equal surroundings are one path; one occurrence stands for it
@@ -197,7 +198,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, k: int = ANCHOR) -> DataFr
     single = single.select("doc_id", F.col("start").alias("low"), (F.col("start") + size).alias("high"))
     spans = whole.unionByName(twice.select("doc_id", "low", "high")).unionByName(single)
     found = stored(spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "spans")
-    dropped(places, repeated, paths, windows)
+    dropped(places, seen, repeated, paths, windows)
     return found
 
 
@@ -216,9 +217,14 @@ def digests(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def remove(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """``docs`` with repeated spans taken out of ``text``; all rows and columns stay."""
-    key, names = "_longloom_key", docs.columns
+    """``docs`` with repeated spans taken out of ``text``; all rows and columns stay.
+
+    Null texts stay null, empty ones empty; of repeated rows each loses what the
+    others hold too; columns of any name are allowed beside doc_id and text.
+    """
+    key, spans = (unused(docs, name) for name in ("_longloom_key", "_longloom_spans"))
     keyed = docs.withColumn(key, row_keys(docs))
-    spans = repeated_spans(keyed.select(F.col(key).alias("doc_id"), "text"), size)
-    spans = spans.select(F.col("doc_id").alias(key), F.col("spans").alias("_spans"))
-    return keyed.join(spans, key, "left").drop(key).mapInArrow(lambda b: _cut(b, names), docs.schema)
+    found = repeated_spans(keyed.select(F.col(key).alias("doc_id"), "text"), size)
+    found = found.select(F.col("doc_id").alias(key), F.col("spans").alias(spans))
+    names, text = docs.columns, docs.select("text").columns[0]
+    return keyed.join(found, key, "left").drop(key).mapInArrow(lambda b: _cut(b, names, text, spans), docs.schema)

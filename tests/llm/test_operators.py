@@ -353,6 +353,19 @@ def test_keep_one_keeps_one_row_of_each_component(spark):
     assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, [(1, a), (2, b), (3, c), (None, ""), (None, None), (4, "")]))
 
 
+def test_columns_with_the_names_used_inside(spark):
+    a, b = sentence(1, 60), sentence(2, 60)
+    names = ("_spans", "_longloom_key", "_longloom_spans", "_longloom_of", "ok", "none", "bucket", "component_id", "n_shingles")
+    for ids in ((1, 2, 3), (1, None, 2)):
+        rows = [(i, t, *[7] * len(names)) for i, t in zip(ids, (a, a, b))]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+        cut = substring.remove(frame)
+        assert cut.columns == frame.columns and sorted(r.text for r in cut.collect()) == ["", "", b]
+        kept = minhash.keep_one(frame)
+        assert kept.columns == frame.columns and sorted(r.text for r in kept.collect()) == sorted([a, b])
+        assert rules.cascade(frame).columns == frame.columns
+
+
 def test_html(spark):
     page = lambda body: f"<body><div>Home</div><div>{body}</div><div>Contact us</div></body>"
     rows = [(i, f"http://h.example/{i}", page(f"Story {i}"), "x") for i in range(6)]

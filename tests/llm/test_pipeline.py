@@ -39,6 +39,21 @@ def test_stages(spark):
             assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in before}
 
 
+def test_run_on_odd_tables(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, an extra column; then an empty table."""
+    good = [r.text for r in table(spark, SF, "documents").where("length(text) > 900 AND length(text) < 4000").orderBy("doc_id").limit(12).collect()]
+    rows = [(i, t, "en", "web", len(t), "x") for i, t in enumerate(good)]
+    rows += [rows[0], (None, good[1], None, None, None, None), (50, None, None, None, None, None), (51, "", "en", "web", 0, "x"), (None, None, None, None, None, None)]
+    rows += [(52, " ".join(good[2:9]) + " " + "".join(reversed(good[3])) * 30, "en", "web", 1, "x")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _spans string"
+    for name, found in (("odd", rows), ("none", [])):
+        spark.createDataFrame(found, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        table(spark, SF, "labels").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    packed = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert packed and {r.doc_id for r in packed} <= {*range(12), 52, None} and sum(r.start == 0 for r in packed if r.doc_id == 0) <= 1
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_registered():
     found = __spark_entry__.queries()
     assert "pipeline" in found and all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 11))
