@@ -117,6 +117,17 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def hash_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """At most ``rows`` rows of ``df``, in the order of a hash of ``keys``: the same however the table is split.
+
+    A filter on the hash leaves few more than asked for over the whole table,
+    so what tasks return does not grow with their number.
+    """
+    share = min(1.0, (1.2 * rows + 100) / max(df.count(), 1))
+    mark = F.xxhash64(*keys)
+    return df.where(F.pmod(mark, F.lit(1 << 30)) <= int(share * (1 << 30))).orderBy(mark, *keys).limit(rows)
+
+
 def crc_bucket(doc_id: Column | str) -> Column:
     """crc32 of the id as text, mod 5: 0 marks the held-out rows."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import crc_bucket, dropped, held_out, stored
+from ._shared import crc_bucket, dropped, hash_sample, held_out, stored
 from ._words import texts
 from .rules import Text
 
@@ -234,11 +234,10 @@ def _quantiles(cells: np.ndarray, n: np.ndarray, shares: np.ndarray) -> np.ndarr
 
 
 def _learned(found: DataFrame, labels: DataFrame, good_rows: int, unlabelled_rows: int) -> Model:
-    in_order = ("mark", "doc_id", "figures")
-    sample = lambda df, n: [r[0] for r in df.orderBy(*in_order).limit(n).select("figures").toLocalIterator()]
+    sample = lambda df, n: [r[0] for r in hash_sample(df, n, "mark", "doc_id", "figures").select("figures").toLocalIterator()]
     good = labels.where((crc_bucket("doc_id") != 0) & (F.col("quality") == 1)).select("doc_id").distinct()
     # at most good_rows ids, so the broadcast has a fixed bound
-    good = F.broadcast(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(good_rows))
+    good = F.broadcast(hash_sample(good, good_rows, "doc_id"))
     positive = sample(found.join(good, "doc_id", "left_semi"), good_rows)
     parts = [_figures_of(rows) for rows in (positive[::2], sample(found, unlabelled_rows), positive[1::2])]
     cell, n = _tally(found, _figure_cells)

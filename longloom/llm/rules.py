@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import hash_sample
 from ._words import _space, all_windows, texts, word_hashes
 
 #: The symbols that n_symbols counts.
@@ -166,13 +167,12 @@ def chained(rules: tuple[Rule, ...], sample: list[bytes]) -> tuple[Rule, ...]:
 def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000, max_chars: int = 20_000) -> tuple[Rule, ...]:
     """The order for ``docs``, from a sample of at most ``sample_rows`` texts of at most ``max_chars`` characters.
 
-    The sample is taken in the order of a hash of the text, and bounds the
+    The sample is taken in the order of a hash of id and text, and bounds the
     planning only: what is kept does not depend on it.
     """
-    mark = F.xxhash64("text")
-    some = docs.where(F.length("text") <= max_chars).select(mark.alias("h"), "text").where(F.pmod("h", F.lit(1000)) < 20)
-    rows = some.orderBy("h", "text").limit(sample_rows).collect()
-    return chained(rules, [r[1].encode() for r in rows])
+    keys = [c for c in ("doc_id", "text") if c in docs.columns]
+    rows = hash_sample(docs.select(*keys).where(F.length("text") <= max_chars), sample_rows, *keys).select("text").collect()
+    return chained(rules, [r[0].encode() for r in rows])
 
 
 def _verdicts(batches: Iterator[pa.RecordBatch], rules: tuple[Rule, ...]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import crc_bucket, held_out
+from ._shared import crc_bucket, hash_sample, held_out
 from ._words import mix, shingles
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -187,7 +187,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, rows: dict[i
     learn = labels.where((crc_bucket("doc_id") != 0) & F.col(label).isin(*rows))
     learn = learn.groupBy("doc_id").agg(F.max(F.col(label)).cast("int").alias("y"))
     # at most sum(rows) ids, so the broadcast has a fixed bound and no text is shuffled
-    picked = [learn.where(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in rows.items()]
+    picked = [hash_sample(learn.where(F.col("y") == v), n, "doc_id") for v, n in rows.items()]
     wanted = F.broadcast(reduce(DataFrame.unionByName, picked))
     texts = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", "text")
     both = texts.join(wanted, "doc_id")
