@@ -156,12 +156,13 @@ def _flat(edges: list[np.ndarray]) -> Model:
 def fit(positive: np.ndarray, unlabelled: np.ndarray, aside: np.ndarray, edges: list[np.ndarray] | None = None, cells=None, quantile=None) -> Model:
     """Prior, weights and threshold from figures.
 
-    A first model is fitted on ``positive``; the prior is estimated with its
-    scores on the positives ``aside`` (on half of ``positive``, if there are
-    none). ``edges`` are the bin edges, ``cells(model, cuts)`` counts all
-    unlabelled texts in the cells between ``cuts``, and ``quantile(model,
-    share)`` is a quantile of all their scores; by default each is taken from
-    ``unlabelled``.
+    The prior is estimated twice, by a first model fitted on ``positive`` from
+    the positives ``aside`` and the other way round (on the halves of
+    ``positive``, if there are none aside); each estimate is a bound, so the
+    smaller one counts. ``edges`` are the bin edges, ``cells(model, cuts)``
+    counts all unlabelled texts in the cells between ``cuts``, and
+    ``quantile(model, share)`` is a quantile of all their scores; by default
+    each is taken from ``unlabelled``.
     """
     base = unlabelled if len(unlabelled) else positive
     if edges is None:
@@ -171,12 +172,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, aside: np.ndarray, edges:
     both = np.concatenate([positive, aside])
     if not len(aside):
         positive, aside = positive[::2], positive[1::2] if len(positive) > 1 else positive
-    first = minimise(positive, unlabelled, edges, 0.5, steps=200)
-    cuts = np.unique(first.raw(aside))
-    n_p = _counts(first.raw(aside), cuts)
-    n_u = cells(first, cuts) if cells else _counts(first.raw(unlabelled), cuts)
-    share_p, share_u = (1 - np.cumsum(n)[:-1] / n.sum() for n in (n_p, n_u))
-    model = minimise(both, unlabelled, edges, class_prior(share_p, share_u, int(n_p.sum()), int(n_u.sum())))
+    prior = 1.0
+    for known, other in ((positive, aside), (aside, positive)):
+        first = minimise(known, unlabelled, edges, 0.5, steps=200)
+        cuts = np.unique(first.raw(other))
+        n_p = _counts(first.raw(other), cuts)
+        n_u = cells(first, cuts) if cells else _counts(first.raw(unlabelled), cuts)
+        share_p, share_u = (1 - np.cumsum(n)[:-1] / n.sum() for n in (n_p, n_u))
+        prior = min(prior, class_prior(share_p, share_u, int(n_p.sum()), int(n_u.sum())))
+    model = minimise(both, unlabelled, edges, prior)
     share = 1 - model.prior
     half = quantile(model, share) if quantile else float(np.quantile(model.raw(unlabelled), share))
     return replace(model, shift=-half)
@@ -258,7 +262,7 @@ def _learned(found: DataFrame, labels: DataFrame, good_rows: int, unlabelled_row
     return fit(*parts, edges, cells, quantile)
 
 
-def learn(docs: DataFrame, labels: DataFrame, good_rows: int = 3000, unlabelled_rows: int = 4000) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, good_rows: int = 3000, unlabelled_rows: int = 20_000) -> Model:
     """Fit on the figures of all ``docs`` and of at most ``good_rows`` labelled good rows.
 
     Labels of the held-out fold (crc32 of the id, mod 5, is 0) are not read.
@@ -297,7 +301,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, model: M
     half.
     """
     found = measured(docs)
-    model = model or _learned(found, labels, 3000, 4000)
+    model = model or _learned(found, labels, 3000, 20_000)
     return found.select("doc_id", "held_out", "figures").mapInArrow(lambda b: _scores(b, model, threshold), SCHEMA)
 
 
