@@ -17,10 +17,17 @@ def _measured(items: Column, count) -> Column:
 
 
 def word_windows(text: Column, size: int) -> Column:
-    """Consecutive windows of ``size`` words, each joined by single blanks."""
-    w = words(text)
-    starts = F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(size))
-    return F.when(F.size(w) > 0, F.transform(starts, lambda i: F.array_join(F.slice(w, i + 1, size), " "))).otherwise(F.array().cast("array<string>"))
+    """Consecutive windows of ``size`` words, each joined by single blanks.
+
+    The words are bound to a lambda's variable, so that the text is split once and not once for each window.
+    """
+
+    def cut(w: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(size))
+        found = F.transform(starts, lambda i: F.array_join(F.slice(w, i + 1, size), " "))
+        return F.when(F.size(w) > 0, found).otherwise(F.array().cast("array<string>"))
+
+    return F.get(F.transform(F.array(words(text)), cut), F.lit(0))
 
 
 def _fits(items: Column, most: int, window: int, count) -> Column:

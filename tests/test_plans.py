@@ -46,6 +46,15 @@ def test_entry_and_registry(spark):
         plans.get("nothing")
 
 
+@pytest.mark.parametrize("task", ["common_words", "freq_words", "count_predicate", "numeric_agg", "top_k", "set_ops", "graph_bfs", "graph_cycle", "graph_component_size"])
+def test_gold_equals_its_own_sql(spark, db, task):
+    test_query_equals_its_sql(spark, db, f"gold_{task}")
+
+
+def test_every_task_has_a_gold_query():
+    assert {f"gold_{t}" for t in synth.TASKS} <= set(plans.ORACLE_SQL)
+
+
 def test_closures_on_a_cycle(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y")], "u string, v string")
     start = spark.createDataFrame([("a",)], "node string")
