@@ -29,27 +29,29 @@ def library_token_count(text: Column, spec: str) -> Column:
         return token_count(text)
     if kind not in ("hf", "tiktoken") or not path:
         raise ValueError(f"unknown tokenizer {spec!r}: whitespace, hf:<file> or tiktoken:<file>")
-    count = _loaded(kind, path)
+    counts = _loaded(kind, path)
 
     @F.pandas_udf(T.LongType())
     def counted(batches):  # noqa: ANN001, ANN202
-        return batches.fillna("").map(count)
+        import pandas as pd
+
+        return pd.Series(counts(batches.fillna("").tolist()), dtype="int64")
 
     counted.func.__annotations__.update({"batches": "pd.Series", "return": "pd.Series"})
     return counted(text)
 
 
-def _loaded(kind: str, path: str) -> Callable[[str], int]:
-    """A counter that loads its tokenizer once in each Python worker."""
-    held: dict[str, Callable[[str], int]] = {}
+def _loaded(kind: str, path: str) -> Callable[[list[str]], list[int]]:
+    """A counter of batches that loads its tokenizer once in each Python worker."""
+    held: dict[str, Callable[[list[str]], list[int]]] = {}
 
-    def count(text: str) -> int:
+    def counts(texts: list[str]) -> list[int]:
         if "of" not in held:
             if kind == "hf":
                 from tokenizers import Tokenizer
 
                 tokenizer = Tokenizer.from_file(path)
-                held["of"] = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids)
+                held["of"] = lambda ts: [len(e.ids) for e in tokenizer.encode_batch(ts, add_special_tokens=False)]
             else:
                 import base64
 
@@ -59,10 +61,10 @@ def _loaded(kind: str, path: str) -> Callable[[str], int]:
                     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
                 pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
                 encoding = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-                held["of"] = lambda t: len(encoding.encode_ordinary(t))
-        return held["of"](text)
+                held["of"] = lambda ts: [len(x) for x in encoding.encode_ordinary_batch(ts, num_threads=1)]
+        return held["of"](texts)
 
-    return count
+    return counts
 
 
 def strip(text: Column) -> Column:

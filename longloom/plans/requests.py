@@ -90,7 +90,7 @@ def request_order(id_: Column, else_: Column) -> Column:
 
 
 def multihop_assemble(found: DataFrame, docs: DataFrame, fmt: str = "sft", min_pairs: int = 1, max_pairs: int = 10) -> DataFrame:
-    """One row for each document with enough pairs, in request order; repeated answers to a request stay."""
+    """One row for each document with enough pairs, in the order of documents, pairs in request order; repeated answers to a request stay."""
     pairs = found.withColumn("pair", qa_pair(F.col("reply"), REFUSAL)).where("pair IS NOT NULL")
     order = F.struct(request_order(F.col("id"), F.lit(0)).alias("o"), "file", "line", "pair")
     grouped = pairs.groupBy("doc").agg(F.array_sort(F.collect_list(order)).alias("all"))
@@ -106,11 +106,11 @@ def multihop_assemble(found: DataFrame, docs: DataFrame, fmt: str = "sft", min_p
     else:
         listed = lambda part: F.array_join(F.transform("qa_pairs", lambda p, i: F.concat((i + 1).cast("string"), F.lit(". "), p[part])), "\n")
         out = out.withColumn("messages", messages((F.lit("user"), F.concat("_text", F.lit("\n\n"), listed("question"))), (F.lit("assistant"), listed("answer"))))
-    return out.drop("_text")
+    return out.drop("_text").orderBy("id")
 
 
 def summarize_assemble(found: DataFrame, docs: DataFrame, fmt: str = "sft", strict: bool = False) -> DataFrame:
-    """One row for each document with a summary that is not empty; the last response wins."""
+    """One row for each document with a summary that is not empty, in the order of documents; the last response wins."""
     cleaned = found.withColumn("summary", clean_summary(F.col("reply"), strict)).where("summary <> ''")
     last = cleaned.groupBy("doc").agg(F.max_by("summary", F.struct("file", "line")).alias("summary"))
     rows = last.join(docs.select("doc", "doc_id", "source", "doc_tokens", "instruction", F.col("text").alias("_text")), "doc", "left")
@@ -120,7 +120,7 @@ def summarize_assemble(found: DataFrame, docs: DataFrame, fmt: str = "sft", stri
         out = out.withColumn("text", F.concat("_text", F.lit("\n\n"), "instruction", F.lit("\n"), "summary"))
     else:
         out = out.withColumn("messages", messages((F.lit("user"), F.concat("_text", F.lit("\n\n"), "instruction")), (F.lit("assistant"), F.col("summary"))))
-    return out.drop("_text")
+    return out.drop("_text").orderBy("id")
 
 
 def run_summary(found: DataFrame, unmatched: DataFrame, assembled: DataFrame) -> DataFrame:

@@ -17,11 +17,11 @@ def answer_text(answers: Column, answer_type: Column) -> Column:
     return F.when(answer_type.isin("list", "map"), F.array_join(answers, ", ")).otherwise(F.get(answers, F.lit(0)))
 
 
-def shaped(samples: DataFrame, fmt: str, fewshot: Column | str = "", cue: bool = True) -> DataFrame:
+def shaped(samples: DataFrame, fmt: str, fewshot: Column | str = "", cue: bool = True, count=token_count) -> DataFrame:
     """Adds input, length and the trainable field: text (pt) or messages (sft).
 
     With ``cue`` the length counts the prompt, a line end and the answer cue;
-    otherwise the input alone.
+    otherwise the input alone; ``count`` is the tokenizer's.
     """
     if fmt not in ("pt", "sft"):
         raise ValueError(f"unknown format {fmt!r}")
@@ -29,7 +29,7 @@ def shaped(samples: DataFrame, fmt: str, fewshot: Column | str = "", cue: bool =
     text = F.concat(fewshot, prompt_input(F.col("instruction"), F.col("context"), F.col("question")))
     answer = F.trim(F.concat_ws(" ", "answer_prefix", answer_text(F.col("answers"), F.col("answer_type"))))
     measured = F.concat(text, F.lit("\n"), F.col("answer_prefix")) if cue else text
-    out = samples.withColumn("input", text).withColumn("format", F.lit(fmt)).withColumn("length", token_count(measured).cast("int"))
+    out = samples.withColumn("input", text).withColumn("format", F.lit(fmt)).withColumn("length", count(measured).cast("int"))
     if fmt == "pt":
         return out.withColumn("text", F.concat("input", F.lit("\n"), answer))
     return out.withColumn("messages", messages((F.lit("user"), F.col("input")), (F.lit("assistant"), answer)))

@@ -21,7 +21,8 @@ from ..functions.numbers import chance, hashed, hex_id, letters, median_text, pi
 from ..functions.text import json_list, token_count
 from ..operators import graph
 from ..sources.storage import stored
-from .shape import prompt_input
+from . import budget
+from .shape import fewshot_block
 
 # Labels and sentences of the tasks.
 CATEGORIES = ("fruit", "metal", "animal", "color", "country", "planet", "tool", "gem", "flower", "fish", "bird", "vehicle")
@@ -523,29 +524,36 @@ def graph_max_degree(p: DataFrame, seed: int) -> DataFrame:
 # Sizes -----------------------------------------------------------------------
 
 
-def fit_size(spark: SparkSession, name: str, budget: int, pool, seed: int = 42, grid: int = 24) -> int:
-    """The largest size whose sample fits ``budget`` tokens, cue included.
+def builder(name: str, pool, seed: int = 42) -> budget.Build:
+    """The task as a function of rows (sample_id, size); ``pool`` is a list, or rows (wid, word) to deal from."""
+    t = get_task(name)
+
+    def build(rows: DataFrame) -> DataFrame:
+        if isinstance(pool, DataFrame):
+            words = budget.dealt_words(rows, pool, name, seed)
+            rows = rows.join(words.groupBy("sample_id").agg(F.array_sort(F.collect_set("word")).alias("pool")), "sample_id")
+        else:
+            rows = rows.withColumn("pool", F.array(*map(F.lit, pool)))
+        return t.build(rows, seed).select(*COLUMNS)
+
+    return build
+
+
+def fit_size(spark: SparkSession, name: str, budget_tokens: int, pool, seed: int = 42, grid: int = 24, count=token_count, head: str = "") -> int:
+    """The largest size of a task whose sample fits the budget; the task's least size if none does."""
+    return budget.fitted_size(spark, builder(name, pool, seed), budget_tokens, get_task(name).min_size, count, head, grid=grid)
+
+
+def fitted(spark: SparkSession, name: str, n: int, max_tokens: int, pool, seed: int = 42, count=token_count, shots: int = 0) -> tuple[DataFrame, str]:
+    """(``n`` samples with size and length, worked examples): prompts of at most ``max_tokens`` less the task's reserve.
 
-    Two or three jobs of ``grid`` sizes each narrow it down; the least size
-    stands if none fits.
+    The worked examples are ``shots`` samples of the least size under another seed, part of every prompt.
     """
     t = get_task(name)
-    low, high = t.min_size, max(4 * t.min_size, 2 * budget)
-    best = low
-    while high >= low:
-        sizes = sorted({low + round((high - low) * i / grid) for i in range(grid + 1)})
-        p = params(spark, 1, low, pool).withColumn("size", F.explode(F.array(*map(F.lit, sizes)))).withColumn("sample_id", F.col("size").cast("long"))
-        built = t.build(p, seed)
-        text = F.concat(prompt_input(F.col("instruction"), F.col("context"), F.col("question")), F.lit("\n"), F.col("answer_prefix"))
-        fits = {r[0] for r in built.select("sample_id", token_count(text).alias("n")).where(F.col("n") <= budget).collect()}
-        if not fits:
-            break
-        best = max(best, max(fits))
-        above = [s for s in sizes if s > best]
-        if not above or above[0] == best + 1:
-            break
-        low, high = best + 1, above[0] - 1
-    return best
+    head = fewshot_block(budget.within_budget(spark, builder(name, pool, seed * 7 + 1), shots, t.min_size, 0, t.min_size, count), shots) if shots else ""
+    room = max_tokens - t.reserve_tokens
+    size = fit_size(spark, name, room, pool, seed, count=count, head=head)
+    return budget.within_budget(spark, builder(name, pool, seed), n, size, room, t.min_size, count, head), head
 
 
 def samples(spark: SparkSession, name: str, n: int, size: int, pool, seed: int = 42) -> DataFrame:

@@ -214,3 +214,47 @@ def test_pools_reach_the_whole_corpus(spark):
     assert len(longest) > 2000 and sum(p[:100] in " ".join(longest.split()) for p in found) > 1
     cut = docs.select(F.explode(segment.passages(F.col("text"))))
     assert len(found) == min(cut.count(), 20_000)
+
+
+@pytest.mark.parametrize("spec", ["whitespace", "hf"])
+def test_no_sample_exceeds_its_budget(spark, spec):
+    from longloom.plans import budget
+
+    if spec == "hf":
+        spec = "hf:" + pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    words = spark.createDataFrame([(f"{a}{b}word",) for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"], "word string")
+    pool, count = budget.numbered_words(words), budget.counter(spec)
+    assert sorted(r.wid for r in pool.collect()) == list(range(400))
+    for task in ("numeric_agg", "graph_children") if spec == "whitespace" else ("numeric_agg",):
+        most = 1200
+        rows, head = synth.fitted(spark, task, 6, most, pool, count=count, shots=2 * (task == "numeric_agg"))
+        assert bool(head) == (task == "numeric_agg")
+        got = rows.withColumn("again", budget.length(count, head)).collect()
+        least = synth.get_task(task).min_size
+        assert len(got) == 6 and all(r.length == r.again and (r.length <= most - synth.get_task(task).reserve_tokens or r.size == least) for r in got)
+        assert max(r.length for r in got) > 0.6 * (most - synth.get_task(task).reserve_tokens)
+        assert verify.summary(verify.check(rows, task)).first().n_ok == 6
+
+
+def test_samples_over_budget_shrink(spark):
+    from longloom.plans import budget
+
+    def build(rows):
+        text = F.array_join(F.array_repeat(F.lit("w"), F.col("size") + 5 * F.col("sample_id").cast("int")), " ")
+        blank = F.lit("")
+        return rows.select("sample_id", blank.alias("instruction"), text.alias("context"), blank.alias("question"), blank.alias("answer_prefix"))
+
+    got = {r.sample_id: (r.size, r.length) for r in budget.within_budget(spark, build, 10, 50, 60, 20, budget.counter()).collect()}
+    assert got[0] == (50, 50) and got[2] == (50, 60) and got[3] == (45, 60) and got[9] == (20, 65)
+
+
+def test_command_line_generates_and_verifies(spark, tmp_path, capsys):
+    from longloom import __main__ as cli
+
+    (tmp_path / "words.txt").write_text("\n".join(f"{a}{b}{c}" for a in "abcdefgh" for b in "abcdefgh" for c in "abc"))
+    a = cli.parser().parse_args(["synth", "--task", "count_distinct,set_ops", "--words", f"{tmp_path}/words.txt", "--num_samples", "4", "--max_seq_length", "900", "--output_dir", f"{tmp_path}/out"])
+    cli.synth(spark, a)
+    cli.verify(spark, cli.parser().parse_args(["verify", "--input_dir", f"{tmp_path}/out"]))
+    said = capsys.readouterr().out
+    assert "count_distinct: 4/4 samples verified" in said and "set_ops: 4/4 samples verified" in said
+    assert {"verify", "datagen"} <= set(cli.parser()._subparsers._group_actions[0].choices)
