@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from longloom.llm import minhash, packing, quality, rules, substring
-from longloom.llm._shared import stored, table
+from longloom.llm._shared import dropped, stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The pieces that the last stage makes of ``documents``; what a stage kept is deleted once the next has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            dropped(before)
+        before = docs
     return docs
