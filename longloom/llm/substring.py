@@ -194,11 +194,12 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, k: int = ANCHOR) -> DataFr
     windows = stored(windows, "windows")
     # only windows of lone paths are still open; those of compacted paths are there to be met
     met = windows.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("alone").alias("open")).where("n > 1 AND open")
-    single = windows.where("alone").join(met.select("a", "b"), ["a", "b"], "left_semi")
+    met = stored(met.select("a", "b"), "met")  # for the same reason as above
+    single = windows.where("alone").join(met, ["a", "b"], "left_semi")
     single = single.select("doc_id", F.col("start").alias("low"), (F.col("start") + size).alias("high"))
     spans = whole.unionByName(twice.select("doc_id", "low", "high")).unionByName(single)
     found = stored(spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "spans")
-    dropped(places, seen, repeated, paths, windows)
+    dropped(places, seen, repeated, paths, windows, met)
     return found
 
 
