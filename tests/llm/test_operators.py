@@ -253,6 +253,27 @@ def test_tokens(docs, odd, empty):
     assert bpe.digests(empty, path, public.PATTERN).count() == 0 == token_counts.token_counts(empty, path, public.PATTERN).count()
 
 
+def test_token_counts_equal_a_plain_viterbi(docs, odd):
+    import regex
+
+    path = public.path("byte_bpe_multi_50k.tiktoken")
+    scores, found = token_counts.zipf_scores(bpe.load_ranks(path)), {}
+    longest = max(map(len, scores))
+
+    def tokens(word):
+        if word not in found:
+            best = [(0.0, 0)]
+            for end in range(1, len(word) + 1):
+                options = [(best[at][0] + scores[word[at:end]], best[at][1] - 1) for at in range(max(0, end - longest), end) if word[at:end] in scores]
+                best.append(max(options))
+            found[word] = -best[-1][1]
+        return found[word]
+
+    parts = [(i, [w.encode() for w in regex.findall(public.PATTERN, t or "")]) for i, t, *_ in odd]
+    want = sorted((str(i), len(ws), sum(map(tokens, ws))) for i, ws in parts)
+    assert sorted((str(r.doc_id), r.n_pretokens, r.n_tokens) for r in token_counts.token_counts(docs, path, public.PATTERN).collect()) == want
+
+
 def test_packing(docs, odd, empty):
     from tokenizers import Tokenizer
 
