@@ -50,7 +50,7 @@ def cluster(spark, a):
     from .sources.storage import write_summary
 
     vectors = spark.read.parquet(a.vectors)
-    near = topk(vectors, a.topk, id_col=a.id_col, blocks=a.blocks)
+    near = topk(vectors, a.topk, id_col=a.id_col, blocks=a.blocks or None)
     found = bundle(near, vectors.select(F.col(a.id_col).alias("id"), "n_tokens"), a.budget, a.floor)
     found.write.mode("overwrite").parquet(f"{a.output_dir}/clusters.parquet")
     write_summary(bundle_summary(spark.read.parquet(f"{a.output_dir}/clusters.parquet")), f"{a.output_dir}/summary.json")
@@ -172,7 +172,7 @@ def parser() -> argparse.ArgumentParser:
     reading = {"input_dir": "data", "min_doc_tokens": 400, "min_edu": 0.75, "keep_dups": False, "max_docs": None}
     paragraph = reading | {"num_samples": 20, "min_size": 6, "pool_size": 20000, "max_seq_length": 8192}
     command(synth, task="all", num_samples=10, words="words.txt", list=False, format="pt", num_fewshot=0)
-    command(cluster, vectors="vectors.parquet", id_col="doc_id", topk=64, budget=131072, floor=0.35, blocks=16)
+    command(cluster, vectors="vectors.parquet", id_col="doc_id", topk=64, budget=131072, floor=0.35, blocks=0)
     command(reorder_command, **reading | {"min_doc_tokens": 8000, "context_len": 131072, "flows": "reconstruct,permutation", "target_para_tokens": 10000, "target_jitter": 0.25, "max_para_tokens": None, "min_units": 2, "max_reuse": 5, "num_samples": None, "seed": 0})
     command(mrcr, **paragraph)
     command(idk, **paragraph | {"min_size": 8})

@@ -29,14 +29,17 @@ def embed(docs: DataFrame, model: Callable[[list[str]], np.ndarray], max_tokens:
     return plain.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, embedding array<float>")
 
 
-def topk(vectors: DataFrame, k: int, id_col: str = "vec_id", blocks: int = 1) -> DataFrame:
+def topk(vectors: DataFrame, k: int, id_col: str = "vec_id", blocks: int | None = None, block_rows: int = 4096) -> DataFrame:
     """(i, j, sim, k_rank): the ``k`` nearest others of each vector; ties go to the smaller id.
 
     Both sides are dealt in blocks: a task multiplies one block of rows with
     one of columns in double precision and gives at most ``k`` candidates a
     row, so neither a cross join's rows nor a whole side is ever in one place.
-    The work is quadratic, as exact search is.
+    The work is quadratic, as exact search is. Unless told, there are as many
+    blocks as keep each at about ``block_rows`` vectors.
     """
+    if blocks is None:
+        blocks = max(1, -(-vectors.count() // block_rows))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col("embedding"))
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     left = rows.withColumn("one", block).withColumn("two", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("side", F.lit(0))

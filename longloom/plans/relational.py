@@ -373,15 +373,13 @@ r(root, name) AS (SELECT c, name FROM chains WHERE h = 0 UNION SELECT root, dst
 SELECT CAST(root AS BIGINT) AS root, name FROM r""",
 )
 def var_closure(spark, sf):
-    """Names that a value reaches through copies, by a capped recursion."""
-    _chains(spark).createOrReplaceTempView("ll_chains")
-    return spark.sql(
-        """WITH RECURSIVE copies AS (SELECT a.name AS dst, b.name AS src FROM ll_chains a JOIN ll_chains b ON a.c = b.c AND a.h = b.h + 1),
-        r(root, name, depth) AS (
-          SELECT c, name, 0 FROM ll_chains WHERE h = 0
-          UNION ALL SELECT root, dst, depth + 1 FROM r JOIN copies ON src = r.name WHERE depth < 8
-        ) SELECT DISTINCT root, name FROM r"""
-    )
+    """Names that a value reaches through copies, however long a chain is."""
+    chains = _chains(spark)
+    later = chains.select("c", (F.col("h") - 1).alias("h"), F.col("name").alias("v"))
+    copies = chains.select("c", "h", F.col("name").alias("u")).join(later, ["c", "h"]).select("u", "v")
+    first = chains.where("h = 0").select(F.col("c").alias("root"), F.col("name").alias("start"))
+    found = graph.bfs(copies, first.select(F.col("start").alias("node"))).select("start", F.col("node").alias("name"))
+    return found.join(first, "start").select("root", "name")
 
 
 @query(
@@ -472,13 +470,13 @@ k AS (SELECT i, j, sim, row_number() OVER (PARTITION BY i ORDER BY sim DESC, j)
 
 @query("knn_topk", f"WITH {VECTORS}, {_KNN} SELECT i, j, CAST(k_rank AS INT) AS k_rank, round(sim, 6) AS sim FROM k WHERE k_rank <= 5")
 def knn_topk(spark, sf):
-    found = neighbors.topk(views.vectors(spark, sf), 5, blocks=4)
+    found = neighbors.topk(views.vectors(spark, sf), 5)
     return found.select("i", "j", "k_rank", F.round("sim", 6).alias("sim"))
 
 
 def _bundles(spark, sf):
     vec = views.vectors(spark, sf)
-    near = neighbors.topk(vec, 8, blocks=4)
+    near = neighbors.topk(vec, 8)
     return neighbors.bundle(near, vec.select(F.col("vec_id").alias("id"), F.col("n_tokens").cast("long")), 8000)
 
 

@@ -8,14 +8,14 @@ import re
 def chunk_starts(text: str, n: int) -> list[int]:
     """Where the chunks labelled [1] to [n] begin, in increasing order.
 
-    A label may also occur inside a chunk. Of all increasing choices, one that
+    A label stands at the start or after a blank line; one may also occur there inside a chunk. Of all increasing choices, one that
     makes the shortest chunk as long as can be is taken: the length is found by
     bisection, and for a given length the earliest places that keep it are
     tried. If no choice is possible the labels are taken one after another
     where they first follow.
     """
     places: list[list[int]] = [[] for _ in range(n)]
-    for m in re.finditer(r"\[(\d+)\] ", text):
+    for m in re.finditer(r"(?:\A|(?<=\n\n))\[(\d+)\] ", text):
         if 1 <= int(m.group(1)) <= n:
             places[int(m.group(1)) - 1].append(m.start())
 
