@@ -149,7 +149,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
 
 
 def fit(
-    toxic: list[str], ordinary: list[str], toxic_bytes: int = 2_000, ordinary_bytes: int = 60_000, evidence: float = 16.0
+    toxic: list[str], ordinary: list[str], toxic_bytes: int = 2_000, ordinary_bytes: int = 60_000, evidence: float = 20.0
 ) -> Model:
     """Dictionaries from one half of the texts, the curve from the other.
 
