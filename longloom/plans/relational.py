@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.numbers import hashed, pick
+from ..functions.numbers import hashed, median_text, pick, rounded_mean
 from ..functions.text import lines, token_count
 from ..operators import graph, neighbors, rows, segment
 from ..sources import corpus as source
@@ -52,6 +52,44 @@ def first_docs(spark, sf):
     return table(spark, sf, "documents").where("n_chars >= 2000").orderBy("doc_id").limit(25).select("doc_id")
 
 
+@query(
+    "filtered_clip",
+    f"WITH {CORPUS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, substr(text, 1, 120) AS text FROM v_corpus WHERE {_REASON} = 'kept'",
+)
+def filtered_clip(spark, sf):
+    """The corpus reader's own cap on characters."""
+    return source.filtered(views.corpus(spark, sf), source.Filters(char_cap=120)).select("doc_id", "text")
+
+
+@query(
+    "filtered_first",
+    f"WITH {CORPUS} SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM (SELECT doc_id FROM v_corpus WHERE {_REASON} = 'kept' ORDER BY doc_id LIMIT 25)",
+)
+def filtered_first(spark, sf):
+    """The corpus reader's own cap on documents: the first survivors in file order."""
+    return source.filtered(views.corpus(spark, sf), source.Filters(max_docs=25)).select("doc_id")
+
+
+@query(
+    "rounded_means",
+    f"WITH {RECORDS} SELECT category, round(avg(value), 2) AS mean FROM v_records GROUP BY category",
+)
+def rounded_means(spark, sf):
+    found = views.records(spark, sf).groupBy("category").agg(F.sum("value").alias("total"), F.count("*").alias("n"))
+    return found.select("category", rounded_mean(F.col("total"), F.col("n")).alias("mean"))
+
+
+@query(
+    "median_texts",
+    f"""WITH {RECORDS}, p AS (SELECT CAST(split_part(name, '-', 1) AS BIGINT) AS list, value FROM v_records)
+SELECT list, CASE WHEN count(*) % 2 = 1 THEN CAST(CAST(median(value) AS BIGINT) AS VARCHAR) ELSE CAST(CAST(median(value) AS DOUBLE) AS VARCHAR) END AS median FROM p GROUP BY list""",
+)
+def median_texts(spark, sf):
+    """Medians as text of many short lists: the records of each order."""
+    parts = views.records(spark, sf).select(F.split("name", "-")[0].cast("long").alias("list"), "value")
+    return parts.groupBy("list").agg(median_text(F.collect_list("value")).alias("median"))
+
+
 @query(
     "length_window",
     f"""WITH {CORPUS} SELECT CASE WHEN token_count < 400 THEN 'short' WHEN token_count > 2048 - 512 THEN 'long' ELSE 'kept' END AS reason,
