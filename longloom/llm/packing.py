@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -138,12 +139,13 @@ _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 class WordIds:
     """Token ids of a text, one white-space separated chunk at a time.
 
-    The vocabulary's pre-tokenizer drops white space, never joins across it,
-    and parts letters from punctuation; its normalizer lower-cases letter by
-    letter. So a text's ids are those of its chunks in order, and those of a
-    chunk that is letters followed by ASCII punctuation are those of the two.
-    Chunks and words met before come from tables of bounded size. A text that
-    carries a special token's string goes to the tokenizer whole.
+    The vocabulary's normalizer composes (NFC) and then lower-cases letter by
+    letter; its pre-tokenizer drops white space, never joins across it, and
+    parts letters from punctuation. So a composed text is lower-cased once, a
+    text's ids are those of its chunks in order, and those of a chunk that is
+    letters followed by ASCII punctuation are those of the two. Chunks met
+    before come from a table of bounded size. A text that carries a special
+    token's string goes to the tokenizer whole.
     """
 
     def __init__(self, path: str, most: int = 900_000):
@@ -151,45 +153,54 @@ class WordIds:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        # for words that are normal, lower-case and one pre-token as they stand: the same model, without the steps before it
+        # for chunks that are one pre-token as they stand: the same model, without the steps before it
         self.bare = Tokenizer.from_file(path)
         self.bare.normalizer = None
         self.bare.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         self.most = most
 
     def _ids(self, texts: list[str], bare: bool = False) -> list[bytes]:
         tokenizer = self.bare if bare else self.tokenizer
         return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _plain(self, text: str) -> str | None:
+        """``text`` in lower case where that changes no ids; None if the tokenizer has to see it whole."""
+        if text.isascii():
+            text = text.lower()
+        else:
+            # a capital sigma is the one letter whose lower case would depend on its neighbours
+            low = text.replace("\u03a3", "\u03c3").lower()
+            if is_normalized("NFC", text) and is_normalized("NFC", low):
+                text = low
+        return None if any(s in text for s in self.special) else text
+
+    @staticmethod
+    def _is_word(chunk: str) -> bool:
+        """Letters that the normalizer leaves as they are."""
+        return chunk.isalpha() and chunk == chunk.lower() and (chunk.isascii() or is_normalized("NFC", chunk))
+
     def _learn(self, unknown: set[str]) -> None:
         """Put the ids of chunks not met before into ``chunks``."""
-        chunks, words = self.chunks, self.words
-        waiting: list[tuple[str, str, str]] = []
-        lacking, plain = set(), set()
+        chunks, is_word = self.chunks, self._is_word
+        letters, other, parted = [], [], []
         for chunk in unknown:
-            head = chunk.rstrip(_PUNCTUATION)
-            tail = chunk[len(head) :]
-            letters = plain
-            if head.isalpha() and (head.isascii() or "\u03a3" not in head and "\u0130" not in head):
-                head = head.lower()
-            else:
-                head, tail, letters = chunk, "", lacking
-            ids, more = words.get(head), words.get(tail)
-            if ids is None or more is None:
-                waiting.append((chunk, head, tail))
-                letters.add(head)
-                lacking.add(tail)
+            if is_word(chunk):
+                letters.append(chunk)
             else:
-                chunks[chunk] = ids + more
-        lacking.update([w for w in plain if not (w.isascii() or is_normalized("NFC", w))])
-        for bare, new in ((False, [w for w in lacking if w not in words]), (True, [w for w in plain if w not in words and w not in lacking])):
+                head = chunk.rstrip(_PUNCTUATION)
+                if len(head) < len(chunk) and is_word(head):
+                    parted.append((chunk, head, chunk[len(head) :]))
+                else:
+                    other.append(chunk)
+        letters += {h for _, h, _ in parted}.difference(chunks, unknown)
+        other += {t for _, _, t in parted}.difference(chunks, unknown)
+        for bare, new in ((False, other), (True, letters)):
             for i in range(0, len(new), 50_000):
-                words.update(zip(new[i : i + 50_000], self._ids(new[i : i + 50_000], bare), strict=True))
-        for chunk, head, tail in waiting:
-            chunks[chunk] = words[head] + words[tail]
+                chunks.update(zip(new[i : i + 50_000], self._ids(new[i : i + 50_000], bare), strict=True))
+        for chunk, head, tail in parted:
+            chunks[chunk] = chunks[head] + chunks[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text.
@@ -199,28 +210,19 @@ class WordIds:
         """
         if len(self.chunks) > self.most:
             self.chunks.clear()
-        if len(self.words) > self.most:
-            self.words.clear()
-        known = self.chunks.get
-        found: list = []
-        unknown: set[str] = set()
-        for text in texts:
-            if any(s in text for s in self.special):
-                found.append(self._ids([text])[0])
-                continue
-            parts = text.replace("\n", " ").split(" ")
-            ids = list(map(known, parts))
-            if None in ids:
-                unknown.update([w for w, v in zip(parts, ids, strict=True) if v is None])
-                found.append((parts, ids))
-            else:
-                found.append(b"".join(ids))
+        plain = [self._plain(text) for text in texts]
+        parts = [None if p is None else p.replace("\n", " ").split(" ") for p in plain]
+        unknown = set().union(*[p for p in parts if p is not None]).difference(self.chunks)
         if unknown:
             self._learn(unknown)
-        of = self.chunks
-        return [
-            f if type(f) is bytes else b"".join([of[w] if v is None else v for w, v in zip(*f, strict=True)]) for f in found
-        ]
+        of = self.chunks.__getitem__
+        return [self._ids([text])[0] if p is None else b"".join(map(of, p)) for text, p in zip(texts, parts, strict=True)]
+
+
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One table for all tasks of a Python worker."""
+    return WordIds(path)
 
 
 def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, text_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -229,7 +231,7 @@ def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, tex
     from pyspark import TaskContext
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    words = WordIds(path)
+    words = _word_ids(path)
     ids_of: dict[int, list] = {}  # documents with pieces not yet out: [ids, tokens out so far]
 
     def documents():

@@ -124,6 +124,7 @@ def test_packing_recuts_only_the_emptiest_windows():
 def test_word_ids_equal_the_tokenizer():
     w = packing.WordIds(public.path("word_bpe_49k.json"), most=10)
     odd = ["", "a\x1cb", "Straße ΣΑΣ", "é x́", "don't CAN'T", "x y　z", "<|endoftext|> hi", "½a", "  a\t\tc\r\n", "ﬁ İx", "😀😀 a😀", "end.", "(see)", "\x00"]
+    odd += ["<|ENDOFTEXT|> A", "J\u030c. J\u030cx", "e\u0301te\u0301 E\u0301.", "ΟΔΟΣ, ΣΑΣ'S I\u0307 İ.", "Ǆ Ⓐ 🅰b", "\u0301 \u0301a"]
     plain = [np.array(e.ids, "<u4").tobytes() for e in w.tokenizer.encode_batch(odd, add_special_tokens=False)]
     assert w.encode(odd) == plain == w.encode(odd)
 
