@@ -43,10 +43,15 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 tokens."""
+    """Pieces of sequences of at most 2048 tokens.
+
+    Its workers share an executor with what the stages before it have left in
+    memory, and serve whatever runs next, so they encode less at a time and
+    keep no table of word ids.
+    """
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), text_bytes=1_000_000, keep=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -7,6 +7,9 @@ inside a multi-byte character, so splitting bytes equals splitting text by
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
 import numpy as np
 
 _CHUNK = 1 << 20
@@ -134,3 +137,33 @@ def texts(column):
     null = column.is_null().to_numpy(zero_copy_only=False) if column.null_count else None
     for i in range(len(column)):
         yield None if null is not None and null[i] else data[at[i] : at[i + 1]]
+
+
+def freed() -> None:
+    """Hand memory that this process no longer uses back to the system: idle workers count for their executor too."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def pieces(batches: Iterator, column: int | str, most: int = 4_000_000) -> Iterator:
+    """``batches`` in slices of at most ``most`` bytes of text in ``column``, or of one row.
+
+    What a function holds beside its batch then grows with a slice, not with
+    the batch; unused memory goes back to the system behind the last one.
+    """
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        past = np.cumsum(sizes.astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = past[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(past, before + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+    freed()

@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._words import freed
+
 WINDOW = 2048
 END_ID = 1
 SCHEMA = (
@@ -225,7 +227,7 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, text_bytes: int) -> Iterator[pa.RecordBatch]:
+def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, text_bytes: int, keep: bool) -> Iterator[pa.RecordBatch]:
     import os
 
     from pyspark import TaskContext
@@ -271,10 +273,13 @@ def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, tex
             yield out()
     if rows:
         yield out()
+    if not keep:
+        words.chunks.clear()
+        freed()
 
 
 def pack(
-    docs: DataFrame, tokenizer_path: str, window: int = WINDOW, text_bytes: int = 4_000_000
+    docs: DataFrame, tokenizer_path: str, window: int = WINDOW, text_bytes: int = 4_000_000, keep: bool = True
 ) -> DataFrame:
     """Pack ``docs`` (doc_id, text) into sequences of at most ``window`` tokens.
 
@@ -283,6 +288,10 @@ def pack(
     is the partition number times 2**32 plus a count. Null and empty texts hold
     the end id alone. Repeated doc_id values are packed as separate documents.
     Other columns are not read. An empty table gives no rows.
+
+    About ``text_bytes`` are encoded at a time. The table of word ids stays in
+    its Python worker for the next task, or if ``keep`` is not set is emptied
+    behind each. Neither changes a result.
     """
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return plain.mapInArrow(lambda batches: _token_pieces(batches, tokenizer_path, window, text_bytes), SCHEMA)
+    return plain.mapInArrow(lambda batches: _token_pieces(batches, tokenizer_path, window, text_bytes, keep), SCHEMA)

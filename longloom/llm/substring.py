@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import dropped, row_keys, stored, unused
-from ._words import all_windows, texts, window_hashes, word_hashes
+from ._words import all_windows, pieces, texts, window_hashes, word_hashes
 
 SIZE = 35
 ANCHOR = 8
@@ -71,7 +71,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _anchor_rows(batches: Iterator[pa.RecordBatch], size: int, k: int) -> Iterator[pa.RecordBatch]:
     """Anchor occurrences with the extent and the fingerprint of the words around them."""
     reach = size - k
-    for batch in batches:
+    for batch in pieces(batches, 1):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         parts: list[tuple] = []
         for doc, data in zip(ids, texts(batch.column(1)), strict=True):
@@ -95,7 +95,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], size: int, k: int) -> Iterat
 def _window_rows(batches: Iterator[pa.RecordBatch], size: int, k: int) -> Iterator[pa.RecordBatch]:
     """Windows through the listed anchor occurrences of each document: (a, b, doc_id, start, alone)."""
     reach = size - k
-    for batch in batches:
+    for batch in pieces(batches, 1):
         parts: list[tuple] = []
         for doc, data, places, alone in zip(batch.column(0).to_pylist(), texts(batch.column(1)), batch.column(2), batch.column(3), strict=True):
             words = word_hashes(_EMPTY if data is None else data)
@@ -133,7 +133,7 @@ def _spans(column: pa.Array, i: int) -> list:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, 1):
         rows = []
         for i, (doc, data) in enumerate(zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True)):
             words = _words(b"" if data is None else data.tobytes())
@@ -148,7 +148,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(batches: Iterator[pa.RecordBatch], names: list[str], text: str, spans: str) -> Iterator[pa.RecordBatch]:
     """Rows with the covered words, and the white space before each, taken out of their text."""
     span = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
-    for batch in batches:
+    for batch in pieces(batches, text):
         out = []
         held = batch.column(batch.schema.get_field_index(spans))
         for i, data in enumerate(texts(batch.column(batch.schema.get_field_index(text)))):

@@ -269,3 +269,44 @@ def test_the_cascade_counts_what_is_left():
     mine = (rules.Rule("all", lambda t: t.n_words < 4), rules.Rule("inside", slow), rules.Rule("few", few))
     sample = [b"a b"] * 80 + [b"a b c d z"] * 5 + [b"a b c d e"] * 15
     assert [r.name for r in rules.chained(mine, sample)] == ["all", "few", "inside"]
+
+
+def _batches(texts, rows=10_000):
+    import pyarrow as pa
+
+    return iter(pa.RecordBatch.from_arrays([pa.array(range(len(texts[i : i + rows])), pa.int64()), pa.array(texts[i : i + rows], pa.string())], ["doc_id", "text"]) for i in range(0, len(texts), rows))
+
+
+def test_pieces_are_whole_and_bounded():
+    texts = ["a" * 30, None, "", "b" * 500, "é" * 20, *["c"] * 7]
+    got = list(_words.pieces(_batches(texts, 9), "text", 60))
+    assert [t for p in got for t in p.column("text").to_pylist()] == texts
+    assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column("text").to_pylist()) <= 60 for p in got)
+
+
+def test_anchors_of_a_large_batch_come_in_parts():
+    """What a worker of the substring step holds does not grow with its Arrow batch."""
+    texts = [" ".join(random.Random(i).choices("abcdefghij", k=5000)) for i in range(1000)]
+    got = list(substring._anchor_rows(_batches(texts), 35, 8))
+    assert len(got) > 1 and max(b.num_rows for b in got) < sum(b.num_rows for b in got) / 2
+    assert [i for b in got for i in dict.fromkeys(b.column("doc_id").to_pylist())] == list(range(1000))
+
+
+def test_packing_leaves_no_table_behind(monkeypatch):
+    """A pipeline's workers keep no word ids once a task is done; the pieces are the same."""
+    import pyspark
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        partitionId = staticmethod(lambda: 3)  # noqa: N815
+
+    monkeypatch.setattr(pyspark, "TaskContext", Context)
+    path = public.path("word_bpe_49k.json")
+    texts = [" ".join(f"w{i}{j}" for j in range(40 + 97 * i % 300)) for i in range(50)] + [None, ""]
+    rows = lambda size, keep: [r for b in packing._token_pieces(_batches(texts, 20), path, 128, size, keep) for r in b.to_pylist()]
+    kept = rows(4_000_000, True)
+    assert packing._word_ids(path).chunks
+    assert rows(500, False) == kept and not packing._word_ids(path).chunks
