@@ -52,6 +52,44 @@ def test_encoding_equals_the_library(text):
     assert ENCODER.decode(ids) == text.encode()
 
 
+def test_compatible_pairs_equal_plain_merging():
+    rng, seen = random.Random(3), set()
+    for round_ in range(120):
+        tokens = [b"a", b"b", b"c"][: rng.randint(1, 3)]
+        base = len(tokens)
+        for _ in range(rng.randint(3, 25)):
+            new = rng.choice(tokens) + rng.choice(tokens)
+            if new not in tokens and len(new) < 12:
+                tokens.append(new)
+        if round_ % 3 == 0:
+            rng.shuffle(tokens)  # ranks in no order of merges
+        ranks = {t: i for i, t in enumerate(tokens)}
+        own = bpe.BacktrackBPE(ranks, most_pairs=rng.choice([5, 1000]))
+        seen.add(own.ordered)
+        built = [i for t, i in ranks.items() if own.merge(t) == [i]]
+        for left in built:
+            for right in built:
+                assert own.compatible(left, right) == (own.merge(own.tokens[left] + own.tokens[right]) == [left, right])
+        if own.ordered:
+            for _ in range(60):
+                word = bytes(rng.choice(b"abc"[:base]) for _ in range(rng.randint(1, 30)))
+                if word not in ranks:
+                    assert own.encode_word(word) == own.merge(word)
+    assert seen == {True, False}
+
+
+def test_words_are_encoded_without_plain_merges(monkeypatch):
+    own = bpe.BacktrackBPE(RANKS)
+    monkeypatch.setattr(own, "merge", None)
+    for word in (" thwh", " tothndansh", " 4034987183468263", "Ntly", "\u4e2d\u00e9\u00fc\u00f1", "z" * 300):
+        assert own.encode_word(word.encode()) == THEIRS.encode_ordinary(word)
+
+
+def test_tasks_of_a_worker_share_one_encoder():
+    path = public.path("byte_bpe_multi_50k.tiktoken")
+    assert bpe._encoder(path, public.PATTERN) is bpe._encoder(path, public.PATTERN)
+
+
 def test_trie_counts_equal_a_plain_viterbi():
     scores = {b"a": -1.0, b"b": -1.5, b"ab": -2.0, b"ba": -2.6, b"aba": -2.5, b"c": -3.0}
     trie = token_counts.TokenTrie(scores, most_nodes=50)
