@@ -38,6 +38,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame, file_bytes: int = 8 << 20) -> DataFrame:
+    """``df`` in at most four partitions a core, or one for each ``file_bytes`` of the files it is made of if those are more.
+
+    On a ``file:`` folder Hadoop starts about three processes for the permissions
+    of each file, and while one starts, its executor's memory counts twice.
+    Partitions are put together without a shuffle. Not for rows made by the
+    number of their task (``TaskContext.partitionId``).
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return df.coalesce(min(max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-size // file_bytes)), 1 << 30))
+
+
+def compact(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as ``stored``, in few files."""
+    return stored(few_files(df), name)
+
+
 def dropped(*frames: DataFrame) -> None:
     """Delete tables that ``stored`` wrote and that nothing reads any more."""
     for df in frames:
@@ -68,7 +86,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     collected neighbour list. Each round is written to the shared folder.
     Nodes without an edge are not in the result; self-loops are ignored.
     """
-    now = stored(
+    now = compact(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
         "links",
     )
@@ -77,12 +95,12 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         both = _directed(now)
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = stored(large, "large")
+        large = compact(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )
-        small = stored(
+        small = compact(
             small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
             "small",
         )

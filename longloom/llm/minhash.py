@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._groups import root, sorted_groups
-from ._shared import components, dropped, partitions, stored, unused
+from ._shared import compact, components, dropped, partitions, unused
 from ._words import mix, shingles, texts
 
 D = 1 << 20
@@ -270,26 +270,26 @@ def near_duplicates(
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = plain.mapInArrow(lambda b: _signatures(b, size, bands, rows), "doc_id long, n_shingles long, a long, b long, signature binary")
-    signed = stored(signed, "signatures")
+    signed = compact(signed, "signatures")
     sets = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = sets.groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("id"), F.min("signature").alias("signature"))
-    classes = stored(classes, "classes")
+    classes = compact(classes, "classes")
 
     banded = classes.select("id", F.col("n_shingles").alias("n"), "signature").mapInArrow(
         lambda x: _banded(x, bands, rows), "bucket long, id long, n int"
     )
     shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    met = stored(banded.join(shared.select("bucket"), "bucket").select("bucket", "id", "n"), "buckets")
+    met = compact(banded.join(shared.select("bucket"), "bucket").select("bucket", "id", "n"), "buckets")
 
     # texts are shuffled whole once; what follows moves those of classes that met another only
     sources = plain.where("text IS NOT NULL").join(met.select(F.col("id").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
-    sources = stored(sources, "texts")
+    sources = compact(sources, "texts")
 
     label, links, tried, work = None, None, None, None
     few = 64 * met.count()
     for turn in range(max(rounds, 1)):
         labelled = _labelled(met, label)
-        largest = stored(_largest(labelled, turn), "largest")
+        largest = compact(_largest(labelled, turn), "largest")
         before, work = work, largest.agg(F.sum((F.col("all_rows") - F.col("main_rows")) * F.col("all_rows"))).first()[0] or 0
         if turn and (work <= few or 10 * work > 9 * before):
             dropped(largest)
@@ -300,14 +300,14 @@ def near_duplicates(
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
         by = F.xxhash64("u", "v", F.lit(turn)) if turn else F.col("u")
-        asked = stored(pairs.groupBy("v").agg(F.min(F.struct(by.alias("by"), "u")).alias("m")).select("m.u", "v"), "asked")
-        found = stored(_confirmed(asked, sources, size, percent), "confirmed")
+        asked = compact(pairs.groupBy("v").agg(F.min(F.struct(by.alias("by"), "u")).alias("m")).select("m.u", "v"), "asked")
+        found = compact(_confirmed(asked, sources, size, percent), "confirmed")
         tried = asked if tried is None else tried.unionByName(asked)
         links = found if links is None else links.unionByName(found)
         old, label = label, components(links)
         dropped(largest, *([old] if old is not None else []))
 
-    labelled = stored(_labelled(met, label), "labelled")
+    labelled = compact(_labelled(met, label), "labelled")
     # five standard errors below the threshold
     share = percent / 100
     least = share - 5 * (share * (1 - share) / (bands * rows)) ** 0.5
@@ -315,10 +315,10 @@ def near_duplicates(
     compared = _blocked(labelled, block, 2_000_000).join(classes.select("id", "signature").hint("merge"), "id")
     compared = compared.repartition(n, *_DEALT).sortWithinPartitions(*_DEALT)
     likely = compared.mapInArrow(lambda b: _likely(b, least), "bucket long, one int, two int, block int, id long, component_id long")
-    likely = stored(likely, "likely")
+    likely = compact(likely, "likely")
     whole = likely.join(sources.withColumnRenamed("doc_id", "id").hint("merge"), "id")
     whole = whole.repartition(n, *_DEALT).sortWithinPartitions(*_DEALT)
-    more = stored(whole.mapInArrow(lambda b: _forest(b, size, percent), "u long, v long").distinct(), "forest")
+    more = compact(whole.mapInArrow(lambda b: _forest(b, size, percent), "u long, v long").distinct(), "forest")
 
     # a doc_id that stands on different texts joins their classes
     key = F.struct("a", "b", "n_shingles")
@@ -331,7 +331,7 @@ def near_duplicates(
     out = signed.drop("signature").join(of_class, ["a", "b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
-    out = stored(out, "near-duplicates")
+    out = compact(out, "near-duplicates")
     dropped(signed, classes, met, sources, tried, links, labelled, likely, more, final, label)
     return out
 
@@ -362,7 +362,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     key, of = unused(docs, "_longloom_key"), unused(docs, "_longloom_of")
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), **options)
-    found = stored(found.select(F.col("doc_id").alias(key), "component_id", "n_shingles").distinct(), "components")
+    found = compact(found.select(F.col("doc_id").alias(key), "component_id", "n_shingles").distinct(), "components")
     ids = keyed.select(key, F.col("doc_id").cast("long").alias("id")).distinct()
     rows = found.join(ids, key)
     bare = (F.col("n_shingles") == 0) & F.col("id").isNotNull()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import dropped, row_keys, stored, unused
+from ._shared import compact, dropped, row_keys, unused
 from ._words import all_windows, pieces, texts, window_hashes, word_hashes
 
 SIZE = 35
@@ -173,16 +173,16 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, k: int = ANCHOR) -> DataFr
     places = docs.mapInArrow(
         lambda b: _anchor_rows(b, size, k), "anchor long, a long, b long, doc_id long, pos int, low int, high int"
     )
-    places = stored(places, "anchors")
+    places = compact(places, "anchors")
     mark = F.struct("a", "b")
     seen = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min(mark).alias("least"), F.max(mark).alias("most")).where("n > 1")
     # stored, so that both sides of the join are plain exchanges, of which adaptive execution can split a hot anchor
-    seen = stored(seen.select("anchor", (F.col("least") != F.col("most")).alias("branches")), "seen")
-    repeated = stored(places.join(seen, "anchor"), "repeated")
+    seen = compact(seen.select("anchor", (F.col("least") != F.col("most")).alias("branches")), "seen")
+    repeated = compact(places.join(seen, "anchor"), "repeated")
     whole = repeated.where("NOT branches").where(F.col("high") - F.col("low") >= size).select("doc_id", "low", "high")
     # branching anchors: equal surroundings are one path; one occurrence stands for it
     branching = repeated.where("branches").where(F.col("high") - F.col("low") >= size)
-    paths = stored(
+    paths = compact(
         branching.groupBy("anchor", "a", "b").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first")), "paths"
     )
     twice = branching.join(paths.where("n > 1").select("anchor", "a", "b"), ["anchor", "a", "b"], "left_semi")
@@ -191,14 +191,14 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, k: int = ANCHOR) -> DataFr
     )
     at_source = docs.join(ask, "doc_id").select("doc_id", "text", "asked.pos", "asked.alone")
     windows = at_source.mapInArrow(lambda b: _window_rows(b, size, k), "a long, b long, doc_id long, start int, alone boolean")
-    windows = stored(windows, "windows")
+    windows = compact(windows, "windows")
     # only windows of lone paths are still open; those of compacted paths are there to be met
     met = windows.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("alone").alias("open")).where("n > 1 AND open")
-    met = stored(met.select("a", "b"), "met")  # for the same reason as above
+    met = compact(met.select("a", "b"), "met")  # for the same reason as above
     single = windows.where("alone").join(met, ["a", "b"], "left_semi")
     single = single.select("doc_id", F.col("start").alias("low"), (F.col("start") + size).alias("high"))
     spans = whole.unionByName(twice.select("doc_id", "low", "high")).unionByName(single)
-    found = stored(spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "spans")
+    found = compact(spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "spans")
     dropped(places, seen, repeated, paths, windows, met)
     return found
 

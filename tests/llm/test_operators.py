@@ -411,3 +411,23 @@ def test_html_searches_past_copies_and_range_bounds(spark, monkeypatch):
     assert all(got[i] == story("apples") for i in range(5)) and got[5] == story("bees")
     assert got[10] == f"{story('figs')}\n\nDate 0"
     assert all(got[100 + i] == story(f"no. {i}") for i in range(400))
+
+
+def test_intermediate_tables_have_few_files(spark):
+    """Small tables of many partitions are put together; rows stay as they are."""
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        most = 4 * spark.sparkContext.defaultParallelism
+        pairs = components(spark.createDataFrame([(2 * i, 2 * i + 1) for i in range(400)], "u long, v long"))
+        assert 1 <= len(pairs.inputFiles()) <= most < 61
+        assert {tuple(r) for r in pairs.collect()} == {(i, i - i % 2) for i in range(800)}
+        words = [" ".join(f"w{i // 2}x{j}" for j in range(40)) for i in range(400)]
+        spans = substring.repeated_spans(spark.createDataFrame(list(enumerate(words)), "doc_id long, text string"))
+        assert 1 <= len(spans.inputFiles()) <= most
+        assert {r.doc_id for r in spans.collect()} == set(range(400))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
