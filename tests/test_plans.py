@@ -258,3 +258,32 @@ def test_command_line_generates_and_verifies(spark, tmp_path, capsys):
     said = capsys.readouterr().out
     assert "count_distinct: 4/4 samples verified" in said and "set_ops: 4/4 samples verified" in said
     assert {"verify", "datagen"} <= set(cli.parser()._subparsers._group_actions[0].choices)
+
+
+def test_edges_are_found_range_by_range(spark, tmp_path):
+    """The step from each event to the next one needs no task that sorts all events; nulls come last, as in the SQL."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    events = pd.DataFrame({"event_id": rng.permutation(n), "ts": pd.to_datetime(rng.integers(0, 500, n), unit="s").astype("datetime64[us]"), "user_id": rng.integers(0, 40, n)}).astype({"user_id": "Int64"})
+    events.loc[events.event_id % 97 == 0, "ts"] = pd.NaT
+    events.loc[events.event_id % 89 == 0, "user_id"] = pd.NA
+    events.to_parquet(tmp_path / "events.parquet")
+    held = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet')")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        for found, sql in ((views.all_edges, views.ALL_EDGES), (views.edges, views.EDGES)):
+            got = found(spark, str(tmp_path))
+            assert len(got.inputFiles()) == 7  # written range by range
+            want = con.sql(f"WITH {sql} SELECT u, v FROM v_edges").fetchall()
+            assert sorted(map(tuple, got.collect())) == sorted(want) and want
+        assert views.all_edges(spark, str(tmp_path)).count() > 900
+        empty = spark.read.parquet(str(tmp_path / "events.parquet")).where("event_id < 0")
+        empty.write.parquet(str(tmp_path / "none/events.parquet"))
+        assert views.all_edges(spark, str(tmp_path / "none")).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
