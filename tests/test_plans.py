@@ -287,3 +287,18 @@ def test_edges_are_found_range_by_range(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_component_of_a_long_path(spark, monkeypatch):
+    """Labels settle in few rounds, however long a path is and whatever the order of its ids."""
+    ids = np.random.default_rng(3).permutation(300).tolist()
+    rows = [*zip(ids, ids[1:]), (900, 901), (902, 902)]
+    e = spark.createDataFrame(rows, "u long, v long")
+    written = []
+    monkeypatch.setattr(neighbors, "stored", lambda df, name: written.append(name) or storage.stored(df, name))
+    got = {r.id: r.component_id for r in neighbors.label_components(e).collect()}
+    assert got == {**{i: 0 for i in ids}, 900: 900, 901: 900, 902: 902}
+    assert 2 <= written.count("label") <= 8
+    start = spark.createDataFrame([(ids[150],), (901,), (7777,)], "node long")
+    found = {(r.start, r.node) for r in graph.weak_component(e, start).collect()}
+    assert found == {(ids[150], i) for i in ids} | {(901, 900), (901, 901), (7777, 7777)}
