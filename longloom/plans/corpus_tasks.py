@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import chance, hashed, hex_id, key, pick, shuffled
 from ..functions.text import article
+from ..operators.rows import numbered_in_ranges
 from ..operators.segment import flow_budget, make_units, take_span
+from ..sources.storage import stored
 
 # Markers that paragraphs are tagged with.
 MARKERS = tuple(
@@ -92,10 +94,12 @@ def reorder(
     docs = docs.withColumn("shown", shown)
     listing = F.array_join(F.transform("shown", lambda i, d: F.concat(F.lit("["), (d + 1).cast("string"), F.lit("] "), F.get("units", i))), "\n\n")
     labels = F.transform("units", lambda u, i: F.array_position("shown", i).cast("int"))
+    docs = stored(docs, "reorder")
+    # names are numbered without their texts
+    number = numbered_in_ranges(docs.select("lap", "source", "src"), F.asc("lap"), F.asc("source"), name="sample_id").select("src", "sample_id")
     if num_samples is not None:
-        docs = docs.orderBy("lap", "source").limit(num_samples)
-    nth = F.row_number().over(Window.orderBy("lap", "source")) - 1
-    rows = docs.withColumn("labels", labels).withColumn("sample_id", nth.cast("long"))
+        number = number.where(F.col("sample_id") < num_samples)
+    rows = docs.join(number, "src").withColumn("labels", labels)
     answers = F.array(F.array_join("units", "\n\n")) if flow == "reconstruct" else F.transform("labels", lambda x: x.cast("string"))
     return rows.select(
         "sample_id", F.lit(f"reorder-{flow}").alias("task"), F.lit(flow).alias("flow"), "source", F.lit(REORDER_INSTRUCTION[flow]).alias("instruction"),

@@ -302,3 +302,22 @@ def test_component_of_a_long_path(spark, monkeypatch):
     start = spark.createDataFrame([(ids[150],), (901,), (7777,)], "node long")
     found = {(r.start, r.node) for r in graph.weak_component(e, start).collect()}
     assert found == {(ids[150], i) for i in ids} | {(901, 900), (901, 901), (7777, 7777)}
+
+
+def test_reorder_numbers_no_texts_in_one_task(spark):
+    held = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        names = [f"s{i * 7919 % 1000}" for i in range(200)]
+        sources = spark.createDataFrame([(n, "\n\n".join(f"{n} part {j} " + "word " * 20 for j in range(6))) for n in names], "src string, text string")
+        got = corpus_tasks.reorder(sources, "permutation", context_len=1700, target=30, reuse=2)
+        assert got.rdd.getNumPartitions() == 7  # rows with texts stay apart
+        rows = sorted((r.sample_id, r.source) for r in got.select("sample_id", "source").collect())
+        assert rows == list(enumerate(sorted(names) * 2))
+        first = corpus_tasks.reorder(sources, "permutation", context_len=1700, target=30, reuse=2, num_samples=30)
+        assert sorted((r.sample_id, r.source) for r in first.select("sample_id", "source").collect()) == rows[:30]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
