@@ -321,3 +321,14 @@ def test_reorder_numbers_no_texts_in_one_task(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_best_columns_equal_a_whole_sort():
+    rng = np.random.default_rng(1)
+    for columns, k in ((50, 8), (8, 8), (3, 8), (1, 1)):
+        sim = rng.integers(0, 6, (40, columns)).astype(float)  # full of ties
+        sim[rng.random(sim.shape) < 0.2] = -np.inf
+        sim[0] = -np.inf
+        top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+        want = [(r, c) for r in range(40) for c in top[r].tolist() if sim[r, c] > -np.inf]
+        assert list(zip(*(x.tolist() for x in neighbors.best_columns(sim, k)))) == want
