@@ -18,7 +18,7 @@ from longloom.llm._shared import dropped, few_files, stored, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return rules.cascade(docs)
+    return few_files(rules.cascade(docs))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     held-out fold aside, so that it has seen what the rules take away.
     """
     labels = table(spark, sf_dir, "labels")
-    return quality.keep_good(docs, labels, model=quality.learn(table(spark, sf_dir, "documents"), labels))
+    return few_files(quality.keep_good(docs, labels, model=quality.learn(table(spark, sf_dir, "documents"), labels)))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

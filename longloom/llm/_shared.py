@@ -38,8 +38,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def few_files(df: DataFrame, file_bytes: int = 8 << 20) -> DataFrame:
-    """``df`` in at most four partitions a core, or one for each ``file_bytes`` of the files it is made of if those are more.
+def few_files(df: DataFrame, file_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` in at most two partitions a core, or one for each ``file_bytes`` of the files it is made of if those are more.
 
     On a ``file:`` folder Hadoop starts about three processes for the permissions
     of each file, and while one starts, its executor's memory counts twice.
@@ -48,7 +48,7 @@ def few_files(df: DataFrame, file_bytes: int = 8 << 20) -> DataFrame:
     """
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return df.coalesce(min(max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-size // file_bytes)), 1 << 30))
+    return df.coalesce(min(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // file_bytes)), 1 << 30))
 
 
 def compact(df: DataFrame, name: str) -> DataFrame:

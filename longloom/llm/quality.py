@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import crc_bucket, dropped, hash_sample, held_out, stored
+from ._shared import compact, crc_bucket, dropped, hash_sample, held_out
 from ._words import texts
 from .rules import Text
 
@@ -195,7 +195,7 @@ def _figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def measured(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, mark, figures) for every row of ``docs``, stored; ``mark`` is a hash of id and text."""
     plain = docs.select(F.col("doc_id").cast("long"), held_out("doc_id"), F.xxhash64("doc_id", "text").alias("mark"), "text")
-    return stored(plain.mapInArrow(_figures, "doc_id long, held_out boolean, mark long, figures array<float>"), "figures")
+    return compact(plain.mapInArrow(_figures, "doc_id long, held_out boolean, mark long, figures array<float>"), "figures")
 
 
 def _figures_of(sample: list[list[float]]) -> np.ndarray:

@@ -431,3 +431,18 @@ def test_intermediate_tables_have_few_files(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_narrow_stages_have_few_files(spark):
+    """Two partitions a core at most for a small table, the figures of texts and the first two stages of the pipeline included."""
+    import corpus_pipeline
+    from longloom.llm import quality
+    from longloom.llm._shared import few_files
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(61)
+    most = 2 * spark.sparkContext.defaultParallelism
+    assert few_files(docs).rdd.getNumPartitions() == most < 61
+    assert len(quality.measured(docs).inputFiles()) <= most
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.quality_classifier):
+        assert stage(spark, docs, sf).rdd.getNumPartitions() <= most
